@@ -19,8 +19,9 @@ CONTAMINATION = 0.001
 # A value is frequent with at least 1 / FREQUENT of the rows, so the broadcast table of
 # frequent values has at most columns x FREQUENT rows.
 FREQUENT = 1_000
-# Sums of doubles depend on the order of addition; rounding keeps equal scores equal.
-SCORE_DIGITS = 9
+# Tails are added as whole numbers of this fraction. Sums of doubles depend on the order of
+# addition, so equal rows could get different scores, and a retry another outlier.
+FRACTION = 1e12
 ROW = "_row"
 
 
@@ -86,17 +87,18 @@ def outlier_scores(
         ranked_values(rows, columns, cuts)
         .join(F.broadcast(sign), "feature")  # one row per column
         .select(
-            "feature", "chunk", "x",
+            "feature",
+            "x",
             (F.col("n") * FREQUENT >= F.col("n_total")).alias("frequent"),
-            *[tail.alias(name) for name, tail in tails.items()],
+            *[F.round(tail * FRACTION).cast("long").alias(name) for name, tail in tails.items()],
         )
         .persist()
     )
     # Frequent values take their weights from a bounded broadcast: a value that fills a
     # third of a column never meets in one task, and the columns of a row are added up
     # before the shuffle. Only rare values go through the shuffled join.
-    on = ["feature", "chunk", "x"]
-    cells = long_form(rows, columns, [*key, ROW], cuts)
+    on = ["feature", "x"]
+    cells = long_form(rows, columns, [*key, ROW]).drop("chunk")
     frequent = weights.where("frequent").drop("frequent")
     rare = weights.where("not frequent").drop("frequent")
     near = cells.join(F.broadcast(frequent), on)
@@ -105,7 +107,7 @@ def outlier_scores(
     copies = F.count("*") / F.lit(len(columns))
     sums = near.unionByName(far).groupBy(*key, ROW).agg(*[(F.sum(t) / copies).alias(t) for t in tails])
     total = F.col("best") if combine == "feature" else F.greatest("left", "right", "auto")
-    scores = settled(sums.select(*key, ROW, F.round(total, SCORE_DIGITS).alias("score")))
+    scores = settled(sums.select(*key, ROW, (total / FRACTION).alias("score")))
     weights.unpersist()
     return scores
 

@@ -14,14 +14,13 @@ from bondscope.storage import settled
 
 
 @dataclass(frozen=True)
-class Analysis:
-    """What the analysis of the current lots found."""
+class DriftReport:
+    """Drift and profiles of the current lots against the reference period."""
 
-    outliers: DataFrame
-    column_drift: DataFrame
-    dataset_drift: DataFrame
-    column_profile: DataFrame
-    time_profile: DataFrame
+    columns: DataFrame
+    dataset: DataFrame
+    profile: DataFrame
+    times: DataFrame
 
 
 @dataclass(frozen=True)
@@ -34,7 +33,23 @@ class Training:
     version: int | None
 
 
-def analyse(
+def find_outliers(
+    motion: DataFrame,
+    dates,
+    lot_ids,
+    sensors: Sequence[str] = names.SENSORS,
+    key: Sequence[str] = (names.KEY,),
+    date_column: str = names.DATE,
+    lot_column: str = names.LOT,
+    contamination: float = outliers.CONTAMINATION,
+) -> DataFrame:
+    """Outlier rows among the rows of the given lots."""
+    current = lots.lots(motion, lots.lot_pairs(dates, lot_ids), date_column, lot_column)
+    columns = profile.listed_numeric(motion, sensors)
+    return outliers.outliers(current, columns, key, contamination)
+
+
+def find_drift(
     motion: DataFrame,
     dates,
     lot_ids,
@@ -44,23 +59,21 @@ def analyse(
     lot_column: str = names.LOT,
     time_column: str = names.TIME,
     reference_rows: int = lots.REFERENCE_ROWS,
-) -> Analysis:
-    """Outliers of the given lots and drift against the newest rows before them."""
-    columns = profile.listed_numeric(motion, sensors)
-    pairs = lots.lot_pairs(dates, lot_ids)
-    current = lots.lots(motion, pairs, date_column, lot_column)
+) -> DriftReport | None:
+    """The given lots against the newest rows before them; None without earlier rows."""
     earlier = lots.before(motion, dates, date_column)
+    if evaluation.is_empty(earlier):
+        return None
     reference = lots.newest(earlier, reference_rows, time_column, key)
+    current = lots.lots(motion, lots.lot_pairs(dates, lot_ids), date_column, lot_column)
+    columns = profile.listed_numeric(motion, sensors)
     by_column = drift.column_drift(reference, current, columns)
-    times = [
-        profile.time_profile(side, time_column) for side in (reference, current)
-    ]
-    return Analysis(
-        outliers=outliers.outliers(current, columns, key),
-        column_drift=by_column,
-        dataset_drift=drift.dataset_drift(by_column),
-        column_profile=profile.profile_both(reference, current, columns),
-        time_profile=times[0].unionByName(times[1]),
+    times = [profile.time_profile(side, time_column) for side in (reference, current)]
+    return DriftReport(
+        columns=by_column,
+        dataset=drift.dataset_drift(by_column),
+        profile=profile.profile_both(reference, current, columns),
+        times=times[0].unionByName(times[1]),
     )
 
 

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from bondscope.operators import drift, lots, outliers, profile
-from bondscope.plans.workflows import analyse
+from bondscope.plans import workflows
 from bondscope.queries.tables import (
     DRIFT_CUT,
     LINE_KEY,
@@ -99,21 +99,22 @@ def dataset_summary(spark, sf):
     return profile.dataset_summary(rows)
 
 
-def _analysis(spark, sf):
-    rows = lineitem(spark, sf).withColumns(
+def _dated(spark, sf):
+    return lineitem(spark, sf).withColumns(
         {"date": F.to_date("l_shipdate"), "lot_id": F.col("l_linestatus")}
     )
-    return analyse(
-        rows, DAYS, STATUSES, LINE_SENSORS, LINE_KEY, time_column="l_shipdate", reference_rows=15_000
-    )
 
 
 def analysis_outliers(spark, sf):
-    return _analysis(spark, sf).outliers
+    return workflows.find_outliers(_dated(spark, sf), DAYS, STATUSES, LINE_SENSORS, LINE_KEY)
 
 
 def analysis_drift(spark, sf):
-    return rounded(_analysis(spark, sf).column_drift, "distance", "normed_distance")
+    report = workflows.find_drift(
+        _dated(spark, sf), DAYS, STATUSES, LINE_SENSORS, LINE_KEY,
+        time_column="l_shipdate", reference_rows=15_000,
+    )
+    return rounded(report.columns, "distance", "normed_distance")
 
 
 QUERIES = {
@@ -140,8 +141,8 @@ _EARLIER = f"""(SELECT * FROM {_DATED} WHERE date < DATE '{DAYS[0]}'
 def _scored(source: str, combine: str = "feature") -> str:
     """Rows of the source with their score."""
     tails = ", ".join(
-        f"-ln(cume_dist() OVER (ORDER BY {c})) AS left_{i}, "
-        f"-ln(cume_dist() OVER (ORDER BY {c} DESC)) AS right_{i}, "
+        f"CAST(round(-ln(cume_dist() OVER (ORDER BY {c})) * 1e12) AS BIGINT) AS left_{i}, "
+        f"CAST(round(-ln(cume_dist() OVER (ORDER BY {c} DESC)) * 1e12) AS BIGINT) AS right_{i}, "
         f"sign((SELECT skewness({c}) FROM {source})) AS sign_{i}"
         for i, c in enumerate(LINE_SENSORS)
     )
@@ -156,7 +157,7 @@ def _scored(source: str, combine: str = "feature") -> str:
         right = " + ".join(f"right_{i}" for i in columns)
         auto = " + ".join(f"CASE WHEN sign_{i} < 0 THEN left_{i} ELSE right_{i} END" for i in columns)
         score = f"greatest({left}, {right}, {auto})"
-    return f"(SELECT *, round({score}, 9) AS score FROM (SELECT *, {tails} FROM {source}))"
+    return f"(SELECT *, ({score}) / 1e12 AS score FROM (SELECT *, {tails} FROM {source}))"
 
 
 def _outliers(source: str, columns: str) -> str:

@@ -38,9 +38,16 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
+# The default patterns of the CSV source cut timestamps to milliseconds.
+_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
+}
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write a CSV folder with a header in every file."""
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).option("header", True).options(**_TIMES).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
@@ -48,7 +55,7 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFr
 
     The schema saves the extra pass that type inference needs, and parses timestamps.
     """
-    return nan_to_null(spark.read.option("header", True).schema(schema).csv(path))
+    return nan_to_null(spark.read.option("header", True).options(**_TIMES).schema(schema).csv(path))
 
 
 def save_split(train: DataFrame, test: DataFrame, train_path: str, test_path: str) -> None:
