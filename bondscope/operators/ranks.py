@@ -153,7 +153,24 @@ def interpolated(parts: Column) -> Column:
 
 
 def exact_quantile(df: DataFrame, column: str, share: float, chunks: int | None = None) -> DataFrame:
-    """One row, one column ``quantile``: exact, but never with the whole column in one task."""
-    ranked = ranked_values(df, [column], chunker(df, [column], chunks))
-    parts = F.struct(*quantile(share))
-    return ranked.agg(parts.alias("q")).select(interpolated(F.col("q")).alias("quantile"))
+    """One row, one column ``quantile``: exact, with linear interpolation.
+
+    Approximate quantiles with a guaranteed error enclose the wanted one; only the values
+    between them, some percent of all, are ranked, and the smaller ones are counted.
+    """
+    values = df.select(number(column).alias("x")).where(F.col("x").isNotNull())
+    around = [max(0.0, share - 0.01), min(1.0, share + 0.01)]
+    low, high = values.approxQuantile("x", around, 0.005) or [-inf, inf]
+    rows, below, enclosed = values.agg(
+        F.count("*"), F.count_if(F.col("x") < low), F.count_if(F.col("x") <= high)
+    ).first()
+    at = max(rows - 1, 0) * share
+    first, second = int(at), min(int(at) + 1, max(rows - 1, 0))
+    if below <= first and second < enclosed:
+        values = values.where(F.col("x").between(low, high))
+    else:
+        below = 0
+    ranked = ranked_values(values, ["x"], chunker(values, ["x"], chunks))
+    lower = order_statistic(F.lit(first - below))
+    upper = order_statistic(F.lit(second - below))
+    return ranked.agg((lower + (upper - lower) * F.lit(at - first)).alias("quantile"))
