@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bondscope.operators.profile import column_moments
-from bondscope.operators.ranks import chunker, feature_name, long_form, running_totals
+from bondscope.operators.ranks import chunked_form, chunker, feature_name, running_totals
 
 # Smallest divisor of the distance, distance that counts as drift, share of
 # drifted columns that makes the data set drifted.
@@ -42,8 +42,7 @@ def column_drift(
         current.select(F.lit(0).alias("side"), *columns)
     )
     counts = (
-        long_form(both, columns, ["side"], chunker(both, columns, chunks))
-        .where(F.col("x").isNotNull())
+        chunked_form(both, columns, ["side"], chunker(both, columns, chunks))
         .groupBy("feature", "chunk", "x")
         .agg(F.sum("side").alias("ref"), F.sum(1 - F.col("side")).alias("cur"))
     )

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bondscope import names
+from bondscope.functions.columns import complete_rows
 from bondscope.operators.profile import column_moments
 from bondscope.operators.ranks import chunker, exact_quantile, long_form, number, ranked_values
 from bondscope.storage import settled
@@ -22,38 +23,28 @@ FREQUENT = 1_000
 # Tails are added as whole numbers of this fraction. Sums of doubles depend on the order of
 # addition, so equal rows could get different scores, and a retry another outlier.
 FRACTION = 1e12
+# Up to this many flagged rows are broadcast to pick the raw rows; more are joined by shuffle.
+FEW_FLAGGED = 500_000
 ROW = "_row"
 
 
 def standardised(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Replace columns by (x - mean) / population standard deviation; a constant one becomes 0."""
-    stats = df.agg(
-        F.struct(
-            *[F.avg(number(c)).alias(f"mean_{i}") for i, c in enumerate(columns)],
-            *[F.stddev_pop(number(c)).alias(f"std_{i}") for i, c in enumerate(columns)],
-        ).alias("stats")
-    )
-    with_stats = df.withColumn("_stats", stats.scalar())
+    # One row of two numbers per column comes to the driver, whatever the number of rows.
+    stats = column_moments(df, columns).select("feature", "mean", "std_pop").collect()
     scaled = {}
-    for i, c in enumerate(columns):
-        std = F.col(f"_stats.std_{i}")
-        divisor = F.when(std == 0, F.lit(1.0)).otherwise(std)
-        scaled[c] = (number(c) - F.col(f"_stats.mean_{i}")) / divisor
-    return with_stats.withColumns(scaled).drop("_stats")
-
+    for row in stats:
+        column = columns[row["feature"]]
+        scaled[column] = (number(column) - F.lit(row["mean"])) / F.lit(row["std_pop"] or 1.0)
+    return df.withColumns(scaled)
 
-def _complete(df: DataFrame, columns: Sequence[str], na: str) -> DataFrame:
-    if na == "drop":
-        return df.na.drop(subset=list(columns))
-    if na != "raise":
-        raise ValueError("na must be 'raise' or 'drop'")
-    missing = F.raise_error(F.lit("a numeric column has a missing value; pass na='drop'"))
-    return df.withColumns({c: F.coalesce(number(c), missing) for c in columns})
 
-
-def _with_row(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def _with_row(df: DataFrame, columns: Sequence[str], na: str) -> DataFrame:
     """Add a fingerprint of the numeric values, so that rows sharing a key stay apart."""
-    return df.withColumn(ROW, F.xxhash64(*[number(c) for c in columns]))
+    if na not in ("raise", "drop"):
+        raise ValueError("na must be 'raise' or 'drop'")
+    rows = complete_rows(df, columns) if na == "drop" else df
+    return rows.withColumn(ROW, F.xxhash64(*columns))
 
 
 def outlier_scores(
@@ -73,7 +64,7 @@ def outlier_scores(
     """
     if combine not in ("feature", "row"):
         raise ValueError("combine must be 'feature' or 'row'")
-    rows = _with_row(_complete(df, columns, na), columns).select(*key, ROW, *columns)
+    rows = _with_row(df, columns, na).select(*key, ROW, *columns)
     cuts = chunker(rows, columns, chunks)
     sign = column_moments(rows, columns).select("feature", F.signum("skewness").alias("sign"))
     left = -F.log(F.col("n_le") / F.col("n_total"))
@@ -98,7 +89,8 @@ def outlier_scores(
     # third of a column never meets in one task, and the columns of a row are added up
     # before the shuffle. Only rare values go through the shuffled join.
     on = ["feature", "x"]
-    cells = long_form(rows, columns, [*key, ROW]).drop("chunk")
+    missing = F.raise_error(F.lit("a numeric column has a missing value; pass na='drop'"))
+    cells = long_form(rows, columns, [*key, ROW]).withColumn("x", F.coalesce("x", missing))
     frequent = weights.where("frequent").drop("frequent")
     rare = weights.where("not frequent").drop("frequent")
     near = cells.join(F.broadcast(frequent), on)
@@ -148,7 +140,9 @@ def outliers(
     scores = outlier_scores(df, columns, key, combine, na, chunks)
     marks = flagged(scores, outlier_threshold(scores, contamination, exact, chunks)).where("outlier")
     marks = marks.select(*[F.col(c).alias(f"_mark_{i}") for i, c in enumerate([*key, ROW])])
-    rows = _with_row(_complete(df, columns, na), columns)
+    if marks.count() <= FEW_FLAGGED:
+        marks = F.broadcast(marks)
+    rows = _with_row(df, columns, na)
     match = F.lit(True)
     for i, c in enumerate([*key, ROW]):
         match = match & F.col(c).eqNullSafe(F.col(f"_mark_{i}"))

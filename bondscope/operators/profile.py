@@ -117,7 +117,8 @@ def dataset_summary(df: DataFrame) -> DataFrame:
     flags = df.select("*", *[missing(c).alias(f"_missing_{i}") for i, c in enumerate(df.columns)])
     marks = [F.col(f"_missing_{i}") for i in range(len(df.columns))]
     cells = reduce(lambda a, b: a + b, [m.cast("long") for m in marks])
-    constant = [F.when(F.min(c) == F.max(c), 1).otherwise(0) for c in df.columns]
+    filled = [F.when(~m, F.col(c)) for m, c in zip(marks, df.columns)]
+    constant = [F.when(F.min(v) == F.max(v), 1).otherwise(0) for v in filled]
     return flags.agg(
         F.count("*").alias("row_count"),
         F.lit(len(df.columns)).alias("column_count"),

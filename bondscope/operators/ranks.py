@@ -6,10 +6,11 @@ alone, so chunks are sorted and summed independently, and the sums of the earlie
 chunks are added as offsets. The cut points only balance the work: ranks are exact
 wherever they fall.
 
-Columns travel as small integers (position in the column list) to keep shuffles narrow.
+Columns travel as their position in the column list, which keeps shuffles narrow.
 """
 
 from collections.abc import Sequence
+from functools import reduce
 from math import ceil, inf
 
 from pyspark.ml.feature import Bucketizer
@@ -20,18 +21,22 @@ from pyspark.sql.window import Window
 # One chunk is sorted in one task. The chunk table (columns x chunks rows) is broadcast,
 # which MAX_CHUNKS bounds whatever the data size.
 ROWS_PER_CHUNK = 100_000
-MAX_CHUNKS = 1_000
+MAX_CHUNKS = 4_000
+COLUMNS_AT_ONCE = 24
 # Rows per chunk that cut points are estimated from.
 CUT_ROWS = 1_000
 
 
 def number(column: str) -> Column:
     """The column as a double, with NaN as NULL: both mean "no measurement"."""
-    value = F.col(column).cast("double")
-    return F.when(~F.isnan(value), value)
+    return F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
 
 
-def chunker(df: DataFrame, columns: Sequence[str], chunks: int | None = None) -> Bucketizer | None:
+def chunker(
+    df: DataFrame,
+    columns: Sequence[str],
+    chunks: int | None = None,
+) -> list[list[float]] | None:
     """Cut points of each column, or None when one chunk per column is enough.
 
     They are estimated from some of the rows, as range partitioning does: they decide how
@@ -44,38 +49,67 @@ def chunker(df: DataFrame, columns: Sequence[str], chunks: int | None = None) ->
         return None
     share_read = min(1.0, chunks * CUT_ROWS / max(rows, 1))
     shares = [i / chunks for i in range(1, chunks)]
-    values = [number(c).alias(f"_x{i}") for i, c in enumerate(columns)]
-    inputs = [f"_x{i}" for i in range(len(columns))]
-    estimate = df.select(*values).sample(share_read, seed=0)
-    cuts = estimate.approxQuantile(inputs, shares, 1 / (4 * chunks))
-    finite = [sorted({q for q in column if abs(q) != inf}) or [0.0] for column in cuts]
-    return Bucketizer(
-        inputCols=inputs,
-        outputCols=[f"_c{i}" for i in range(len(columns))],
-        splitsArray=[[-inf, *column, inf] for column in finite],
-    )
+    names = [f"_x{i}" for i in range(len(columns))]
+    values = df.select(*[number(c).alias(x) for c, x in zip(columns, names)])
+    cuts = values.sample(share_read, seed=0).approxQuantile(names, shares, 1 / (4 * chunks))
+    return [sorted({q for q in column if abs(q) != inf}) or [0.0] for column in cuts]
+
+
+def long_form(df: DataFrame, columns: Sequence[str], keep: Sequence[str | Column] = ()) -> DataFrame:
+    """One row per row and column: kept columns, feature (position), x. Keeps nulls.
+
+    The numbers are gathered in one array column and cleaned after the explode. One alias
+    per column instead makes planning and the generated code very slow with many columns.
+    """
+    arrays = df.select(*keep, F.array(*[F.col(c).cast("double") for c in columns]).alias("_xs"))
+    kept = arrays.columns[:-1]
+    cells = arrays.select(*kept, F.posexplode("_xs").alias("feature", "x"))
+    return cells.withColumn("x", number("x"))
 
 
-def long_form(
+def chunked_form(
     df: DataFrame,
     columns: Sequence[str],
-    keep: Sequence[str | Column] = (),
-    cuts: Bucketizer | None = None,
+    keep: Sequence[str] = (),
+    cuts: list[list[float]] | None = None,
 ) -> DataFrame:
-    """One row per row and column: kept columns, feature (position), x, chunk. Keeps nulls."""
-    wide = df.select(*keep, *[number(c).alias(f"_x{i}") for i, c in enumerate(columns)])
-    kept = [c for c in wide.columns[: len(wide.columns) - len(columns)]]
-    if cuts is not None:
-        wide = cuts.transform(wide)
-    entries = [
-        F.struct(
-            F.lit(i).cast("short").alias("feature"),
-            F.col(f"_x{i}").alias("x"),
-            (F.lit(0) if cuts is None else F.col(f"_c{i}")).cast("short").alias("chunk"),
+    """Long form of the values that are not missing, with their chunk.
+
+    With cut points the columns are handled in groups, which a columnar source reads
+    separately, so every value is still read once.
+    """
+    if cuts is None:
+        cells = long_form(df, columns, keep).withColumn("chunk", F.lit(0))
+        return cells.where(F.col("x").isNotNull())
+    parts = []
+    for start in range(0, len(columns), COLUMNS_AT_ONCE):
+        group = columns[start : start + COLUMNS_AT_ONCE]
+        xs = [f"_x{i}" for i in range(len(group))]
+        cs = [f"_c{i}" for i in range(len(group))]
+        bucketizer = Bucketizer(
+            inputCols=xs,
+            outputCols=cs,
+            splitsArray=[[-inf, *cuts[start + i], inf] for i in range(len(group))],
+            handleInvalid="keep",
         )
-        for i in range(len(columns))
-    ]
-    return wide.select(*kept, F.inline(F.array(*entries)))
+        # Adding 0 turns -0.0 into 0.0, which the search among cut points would tell apart.
+        values = [(F.col(c).cast("double") + F.lit(0.0)).alias(x) for c, x in zip(group, xs)]
+        wide = df.select(*keep, *values)
+        arrays = bucketizer.transform(wide).select(
+            *keep,
+            F.array(*xs).alias("x"),
+            F.array(*[F.col(c).cast("int") for c in cs]).alias("chunk"),
+        )
+        cells = arrays.select(*keep, F.posexplode(F.arrays_zip("x", "chunk")).alias("place", "cell"))
+        parts.append(
+            cells.select(
+                *keep,
+                (F.col("place") + start).alias("feature"),
+                F.col("cell.x").alias("x"),
+                F.col("cell.chunk").alias("chunk"),
+            ).where(F.col("x").isNotNull() & ~F.isnan("x"))
+        )
+    return reduce(DataFrame.unionAll, parts)
 
 
 def feature_name(columns: Sequence[str], feature: str = "feature") -> Column:
@@ -120,12 +154,11 @@ def running_totals(counts: DataFrame, measures: Sequence[str]) -> DataFrame:
 def ranked_values(
     df: DataFrame,
     columns: Sequence[str],
-    cuts: Bucketizer | None = None,
+    cuts: list[list[float]] | None = None,
 ) -> DataFrame:
     """Distinct values of each column with count n, n_le (values <= x) and n_total."""
     counts = (
-        long_form(df, columns, cuts=cuts)
-        .where(F.col("x").isNotNull())
+        chunked_form(df, columns, cuts=cuts)
         .groupBy("feature", "chunk", "x")
         .agg(F.count("*").alias("n"))
     )

@@ -5,6 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from bondscope import names
 from bondscope.operators import drift, outliers, profile
 
 FEW = settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -53,7 +54,7 @@ def test_scores_of_copies_and_shared_keys(spark):
     values = np.array([[1.0, 5.0]] * 10 + [[float(i), float(i * i % 7)] for i in range(20)])
     df = frame(spark, key=["same"] * 30, a=values[:, 0], b=values[:, 1])
     scores = outliers.outlier_scores(df, ["a", "b"], ["key"])
-    joined = outliers._with_row(df, ["a", "b"]).join(scores, ["key", outliers.ROW])
+    joined = outliers._with_row(df, ["a", "b"], "raise").join(scores, ["key", outliers.ROW])
     found = {(r.a, r.b): r.score for r in joined.collect()}
     wanted = {tuple(v): s for v, s in zip(values, ecod(values, "feature"))}
     assert joined.count() == 30 and found == pytest.approx(wanted, abs=1e-9)
@@ -148,3 +149,16 @@ def test_profile(spark, chunks):
 def test_dataset_summary(spark):
     df = spark.createDataFrame([(1, "a", None), (1, None, float("nan")), (1, "b", 2.0)], "k int, t string, x double")
     assert tuple(profile.dataset_summary(df).first()) == (3, 3, 3, 2, 2)
+
+
+def test_all_sensors_at_once(spark):
+    """The full sensor list must not make planning explode, with and without chunks."""
+    random = np.random.default_rng(5)
+    values = random.normal(size=(60, len(names.SENSORS))).round(1)
+    df = frame(spark, mapping_uid=range(60), **dict(zip(names.SENSORS, values.T)))
+    for chunks in (1, 3):
+        scores = outliers.outlier_scores(df, names.SENSORS, chunks=chunks)
+        found = scores.orderBy("mapping_uid").toPandas().score.to_numpy()
+        assert found == pytest.approx(ecod(values, "feature"), abs=1e-8)
+    report = drift.column_drift(df, df.where("mapping_uid < 40"), names.SENSORS, chunks=2)
+    assert report.count() == len(names.SENSORS)

@@ -16,7 +16,8 @@ def frame(spark, **columns):
 
 
 @pytest.mark.parametrize("chunks", [1, 2, 7, 50])
-def test_ranks_do_not_depend_on_chunks(spark, chunks):
+def test_ranks_do_not_depend_on_chunks(spark, monkeypatch, chunks):
+    monkeypatch.setattr("bondscope.operators.ranks.COLUMNS_AT_ONCE", 1 if chunks == 7 else 24)
     random = np.random.default_rng(1)
     a = random.normal(size=500).round(2)
     b = np.where(random.random(500) < 0.4, 0.0, random.exponential(size=500))
@@ -29,7 +30,7 @@ def test_ranks_do_not_depend_on_chunks(spark, chunks):
         assert list(mine.n) == [(values == x).sum() for x in distinct]
         assert list(mine.n_le) == [(values <= x).sum() for x in distinct]
         assert set(mine.n_total) == {500}
-        assert list(mine.next_x[:-1]) == list(distinct[1:])
+        assert list(mine.next_x.iloc[:-1]) == list(distinct[1:])
         assert pd.isna(mine.next_x.iloc[-1])
 
 
@@ -61,3 +62,10 @@ def test_quantile_without_rows(spark):
 def test_number(spark):
     df = spark.createDataFrame([(1,)], ["a"])
     assert df.select(number("a")).first()[0] == 1.0
+
+
+def test_both_zeros_are_one_value(spark):
+    df = frame(spark, a=[-1.0, -0.0, 0.0, -0.0, 0.0, 1.0])
+    for chunks in (1, 2, 5):
+        rows = ranked_values(df, ["a"], chunker(df, ["a"], chunks)).orderBy("x").collect()
+        assert [(r.x, r.n) for r in rows] == [(-1.0, 1), (0.0, 4), (1.0, 1)]
