@@ -49,10 +49,15 @@ def chunker(
         return None
     share_read = min(1.0, chunks * CUT_ROWS / max(rows, 1))
     shares = [i / chunks for i in range(1, chunks)]
-    names = [f"_x{i}" for i in range(len(columns))]
-    values = df.select(*[number(c).alias(x) for c, x in zip(columns, names)])
-    cuts = values.sample(share_read, seed=0).approxQuantile(names, shares, 1 / (4 * chunks))
-    return [sorted({q for q in column if abs(q) != inf}) or [0.0] for column in cuts]
+    found = (
+        long_form(df.sample(share_read, seed=0), columns)
+        .where(F.abs("x") < inf)
+        .groupBy("feature")
+        .agg(F.percentile_approx("x", shares, 4 * chunks).alias("cuts"))
+        .collect()  # at most len(columns) x MAX_CHUNKS numbers
+    )
+    cuts = {row["feature"]: sorted(set(row["cuts"])) for row in found}
+    return [cuts.get(i, [0.0]) for i in range(len(columns))]
 
 
 def long_form(df: DataFrame, columns: Sequence[str], keep: Sequence[str | Column] = ()) -> DataFrame:
