@@ -7,7 +7,7 @@ from bondscope.operators import evaluation, lots, models
 from bondscope.queries import pairs
 from bondscope.queries.analysis import ORACLE as ANALYSIS_ORACLE
 from bondscope.queries.analysis import column_drift
-from bondscope.queries.tables import LINE_KEY, lineitem, load, rounded
+from bondscope.queries.tables import load
 from bondscope.sources import results
 from bondscope.storage import fresh_path
 

@@ -6,7 +6,7 @@ Few boosting rounds keep the check short; all rows of the tables take part.
 from pyspark.sql import functions as F
 
 from bondscope.functions.split import split
-from bondscope.operators import evaluation, models
+from bondscope.operators import models
 from bondscope.plans import workflows
 from bondscope.queries.tables import ITEMS, LINE_KEY, lineitem, load
 from bondscope.storage import fresh_path
