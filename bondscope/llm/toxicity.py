@@ -85,7 +85,7 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray, n
             "name": np.concatenate([names, -1 - np.arange(len(cuts))]), "value": np.concatenate([weight, cuts])})
 
     # One task over the bounded sample; at most FEATURES values come back.
-    model = rows.groupBy(F.lit(0)).applyInPandas(fit_all, "name long, value double").toPandas().sort_values("name")
+    model = rows.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(fit_all, "name long, value double").toPandas().sort_values("name")
     words_ = model[model.name >= 0]
     cuts = model[model.name < 0].value.to_numpy()[::-1]
     return words_.name.to_numpy(), words_.value.to_numpy(), cuts
