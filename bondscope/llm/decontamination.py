@@ -75,6 +75,12 @@ def _bits(tokens: DataFrame) -> np.ndarray:
     return field
 
 
+def _held(field: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """Whether the Bloom filter may hold each token."""
+    place = tokens % FILTER_BITS
+    return ((field[place >> 3] >> (place & 7)) & 1).astype(bool)
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Words of ``docs`` (doc_id, text) inside windows of ``benchmark`` (item_id, text).
 
@@ -105,8 +111,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 hashes = word_hashes(words(text), known)
                 for width in widths:
                     made = grams(hashes, width)
-                    place = made % FILTER_BITS
-                    found.append(made[all_tokens.value[place >> 3] >> (place & 7) & 1 == 1])
+                    found.append(made[_held(all_tokens.value, made)])
             token, n = np.unique(np.concatenate(found), return_counts=True) if found else ([], [])
             yield pd.DataFrame({"token": token, "n": n})
 
@@ -130,8 +135,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 out.append((doc_id, key, len(tokens), None, None, None, None))
                 for width in widths:
                     made = grams(hashes, width)
-                    place = made % FILTER_BITS
-                    for at in np.flatnonzero(rare.value[place >> 3] >> (place & 7) & 1 == 1).tolist():
+                    for at in np.flatnonzero(_held(rare.value, made)).tolist():
                         low = max(0, at - WINDOW + width)
                         near = b" ".join(tokens[low:at + WINDOW]).decode(errors="surrogatepass")
                         out.append((doc_id, key, len(tokens), int(made[at]), at, low, near))
