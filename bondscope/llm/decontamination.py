@@ -129,7 +129,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         known: dict[bytes, int] = {}
         for frame in frames:
             out = []
-            for doc_id, key, text in zip(frame.doc_id, frame.key, frame.text):
+            ids = frame.doc_id.astype("Int64").astype(object).where(frame.doc_id.notna(), None)
+            for doc_id, key, text in zip(ids, frame.key, frame.text):
                 tokens = words(text)
                 hashes = word_hashes(tokens, known)
                 out.append((doc_id, key, len(tokens), None, None, None, None))
@@ -139,8 +140,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                         low = max(0, at - WINDOW + width)
                         near = b" ".join(tokens[low:at + WINDOW]).decode(errors="surrogatepass")
                         out.append((doc_id, key, len(tokens), int(made[at]), at, low, near))
-            yield pd.DataFrame(out, columns=["doc_id", "key", "n_words", "token", "at", "low", "near"]).astype(
-                {"doc_id": "Int64", "token": "Int64", "at": "Int64", "low": "Int64"})
+            if not out:
+                continue
+            columns = zip(("doc_id", "key", "n_words", "token", "at", "low", "near"), zip(*out))
+            # Whole numbers beside nulls would pass through doubles without a type of their own.
+            yield pd.DataFrame({name: pd.array(found, dtype="object" if name == "near" else "Int64") for name, found in columns})
 
     keyed = rows.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "text")
     path = fresh_path(spark, "met")
