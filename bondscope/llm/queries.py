@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bondscope.llm import chat, decontamination, exact_dedup, language, mixing, near_dedup, toxicity
+from bondscope.llm import chat, decontamination, exact_dedup, language, licenses, line_dedup, mixing, near_dedup, quality, toxicity
 from bondscope.llm.common import documents
 
 
@@ -41,13 +41,29 @@ def language_query(spark: SparkSession, folder: str) -> DataFrame:
     return language.languages(documents(spark, folder), held_out)
 
 
+def line_query(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.without_recurring_lines(documents(spark, folder))
+
+
+def quality_query(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.resampled(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
+def license_query(spark: SparkSession, folder: str) -> DataFrame:
+    templates = spark.createDataFrame(list(licenses.STATEMENTS), "license string, text string")
+    return licenses.scanned(documents(spark, folder), templates)
+
+
 QUERIES = {
     "op1_mixing": mixing_query,
     "op2_minhash": near_query,
+    "op3_line_dedup": line_query,
     "op4_chat": chat_query,
     "op5_toxicity": toxicity_query,
+    "op6_quality": quality_query,
     "op7_exact_dedup": exact_query,
     "op8_decontamination": decontamination_query,
+    "op9_licenses": license_query,
     "op10_language": language_query,
 }
 
