@@ -15,7 +15,8 @@ STATEMENTS = (
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 )
 SHINGLE = 2
-BANDS = 32
+BAND_BITS = 8
+LEAST_LENGTH = 16
 CONTAINED = 0.9
 
 
@@ -25,39 +26,49 @@ def words(text: Column) -> Column:
 
 
 def shingles(tokens: Column) -> Column:
-    """Distinct hashes of SHINGLE consecutive words."""
-    return F.array_distinct(F.transform(
-        F.sequence(F.lit(1), F.size(tokens) - SHINGLE + 1), lambda i: F.xxhash64(F.slice(tokens, i, SHINGLE))))
+    """Hashes of SHINGLE consecutive words, from each position."""
+    return F.transform(
+        F.sequence(F.lit(0), F.size(tokens) - SHINGLE), lambda i: F.xxhash64(*[F.get(tokens, i + k) for k in range(SHINGLE)]))
 
 
 def bands(hashes: Column) -> Column:
-    """Least hash of each function; with one row a band, a window of twice the template's
-    length around it shares a band with chance 1 - (2/3)^BANDS or about."""
-    return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.struct(
-        b.alias("band"), F.array_min(F.transform(hashes, lambda h: F.xxhash64(h, b))).alias("least")))
+    """One-permutation MinHash: the least hash of each of 2^BAND_BITS ranges that has any.
+
+    A shingle of a template leads its band unless a smaller one of the window is in the same
+    range: with W shingles, W / 2^BAND_BITS at most. A template of n shingles inside is missed
+    with a chance of that to the power n: below 1e-3 for 4 shingles in 32 words, bounds for
+    longer ones are smaller.
+    """
+    order = F.array_sort(hashes)
+    band = lambda h: F.shiftright(h, 64 - BAND_BITS)
+    return F.filter(order, lambda h, i: (i == 0) | (band(h) != band(F.get(order, i - 1))))
 
 
 def scanned(docs: DataFrame, templates: DataFrame) -> DataFrame:
     """doc_id, n_licenses and licenses (sorted names) of every row of ``docs`` (doc_id, text).
 
-    ``templates`` has license and text, and at least SHINGLE words. For each template length L,
-    windows of 2 L words start every L words, so that each occurrence lies within a window.
-    Windows that share a MinHash band with a template are compared by exact shingle
-    containment. Null or short texts have no licenses; rows that repeat are separate.
+    ``templates`` has license and text, and at least SHINGLE words. Template lengths are
+    rounded up to a power of two L, LEAST_LENGTH at least; windows of 2 L words start every L
+    words, so that each occurrence lies within a window. Windows that share a MinHash band
+    with a template are compared by exact shingle containment. Null or short texts have no
+    licenses; rows that repeat are separate. Further columns are ignored.
     """
     known = templates.select("license", words(F.col("text")).alias("w")).where(F.size("w") >= SHINGLE)
-    known = stored(known.select("license", F.size("w").alias("length"), shingles(F.col("w")).alias("wanted")), "templates")
-    lengths = [r.length for r in known.select("length").distinct().orderBy("length").limit(1000).collect()]
-    retrieved = known.select("license", "length", "wanted", F.inline(bands(F.col("wanted"))))
+    known = stored(known.select(
+        "license", F.greatest(F.lit(LEAST_LENGTH), F.pow(F.lit(2.0), F.ceil(F.log2(F.size("w"))))).cast("int").alias("length"),
+        F.array_distinct(shingles(F.col("w"))).alias("wanted")), "templates")
+    lengths = sorted(r.length for r in known.select("length").distinct().collect())  # powers of two
+    retrieved = known.select("license", "length", "wanted", F.explode(bands(F.col("wanted"))).alias("least"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("key", F.xxhash64("doc_id", "text"))
     tokens = rows.where("text IS NOT NULL").select("key", words(F.col("text")).alias("w")).where(F.size("w") >= SHINGLE)
+    hashed = tokens.select("key", shingles(F.col("w")).alias("hashes"))
     size = F.explode(F.array(*[F.lit(n) for n in lengths]) if lengths else F.array().cast("array<int>"))
-    sized = tokens.select("key", "w", size.alias("length"))
-    windows = sized.select("key", "length", F.explode(F.transform(
-        F.sequence(F.lit(1), F.size("w"), F.col("length")),
-        lambda i: F.slice("w", i, 2 * F.col("length")))).alias("window")).where(F.size("window") >= SHINGLE)
-    windows = windows.select("key", "length", shingles(F.col("window")).alias("found"))
-    met = windows.select("key", "length", "found", F.inline(bands(F.col("found")))).join(retrieved, ["length", "band", "least"])
+    windows = hashed.select("key", "hashes", size.alias("length")).select("key", "length", F.explode(F.transform(
+        F.sequence(F.lit(1), F.size("hashes"), F.col("length")),
+        lambda i: F.slice("hashes", i, 2 * F.col("length") - SHINGLE + 1))).alias("found"))
+    # Templates are small; Spark broadcasts the stored table only below its own size limit.
+    met = windows.select("key", "length", "found", F.explode(bands(F.col("found"))).alias("least")).join(
+        retrieved, ["length", "least"])
     inside = F.size(F.array_intersect("found", "wanted")) >= F.ceil(F.size("wanted") * CONTAINED)
     found = met.where(inside).groupBy("key").agg(F.array_sort(F.collect_set("license")).alias("licenses"))
     return rows.select("doc_id", "key").join(found, "key", "left").select(
