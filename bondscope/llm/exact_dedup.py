@@ -9,7 +9,7 @@ from bondscope.llm.common import hot_keys, spread_join, stored
 
 SLOTS = 4
 MAX_KICKS = 200
-BUCKET_DIGESTS = 20_000
+BUCKET_DIGESTS = 500
 PARTS = 16
 
 
