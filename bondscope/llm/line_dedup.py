@@ -9,12 +9,13 @@ LEADING = 3
 LEAST_DOCS = 5
 COMMON = 0.5
 FIELD = "<*>"
+#: Leaves (two longs each) that are broadcast at most; more are joined by a shuffle.
+SMALL = 200_000
 
 
-def tokens(line: Column) -> Column:
-    """Tokens of a line, those with a digit as a variable field."""
-    parts = F.filter(F.split(line, SPACES), lambda w: w != "")
-    return F.transform(parts, lambda w: F.when(w.rlike("[0-9]"), FIELD).otherwise(w))
+def fields(text: Column) -> Column:
+    """The text with every token that has a digit as a variable field."""
+    return F.regexp_replace(text, r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+", FIELD)
 
 
 def without_recurring_lines(docs: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
@@ -28,12 +29,16 @@ def without_recurring_lines(docs: DataFrame, least_docs: int = LEAST_DOCS) -> Da
     doc_id and text are separate rows and count as one document. Further columns are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("key", F.xxhash64("doc_id", "text"))
-    lines = rows.dropDuplicates(["key"]).select("key", F.posexplode(F.split("text", "\n")).alias("at", "line"))
-    lines = lines.select("key", "at", tokens(F.col("line")).alias("tokens")).where(F.size("tokens") > 0)
+    lines = rows.dropDuplicates(["key"]).select("key", F.posexplode(F.split(fields(F.col("text")), "\n")).alias("at", "line"))
+    # The test for blank lines reads the line, as one of the tokens would split it once more.
+    lines = lines.where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).select(
+        "key", "at", F.array_remove(F.split("line", SPACES), "").alias("tokens"))
     lines = lines.withColumn("leaf", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, LEADING)))
     leaves = stored(lines.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= least_docs), "leaves")
     hot = hot_keys(leaves, "leaf", "n")
-    inside = stored(spread_join(lines, leaves, "leaf", hot, F.xxhash64("key", "at")), "lines")
+    few = leaves.count() <= SMALL
+    inside = stored(lines.join(F.broadcast(leaves), "leaf") if few else spread_join(
+        lines, leaves, "leaf", hot, F.xxhash64("key", "at")), "lines")
     spots = inside.select("leaf", "n", F.posexplode("tokens").alias("place", "token"))
     fixed = spots.groupBy("leaf", "place", "token").agg(F.count("*").alias("m"), F.first("n").alias("n")).where(
         F.col("m") >= F.col("n") * COMMON)
