@@ -3,7 +3,10 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bondscope.llm import chat, decontamination, exact_dedup, language, licenses, line_dedup, mixing, near_dedup, quality, toxicity
+from bondscope.llm import (
+    chat, decontamination, divergence, exact_dedup, infilling, language, licenses, line_dedup, mixing, near_dedup,
+    quality, secrets, toxicity,
+)
 from bondscope.llm.common import documents
 
 
@@ -54,6 +57,26 @@ def license_query(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scanned(documents(spark, folder), templates)
 
 
+def divergence_query(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audited(documents(spark, folder))
+
+
+def infilling_query(spark: SparkSession, folder: str) -> DataFrame:
+    made = infilling.infilled(documents(spark, folder))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infilling.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def secret_query(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scanned(documents(spark, folder))
+    of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter("spans", lambda s: s["kind"] != secrets.RANDOM)
+    return found.select(
+        "doc_id", *[of(kind).alias(f"n_{kind}") for kind in [*secrets.BASE, secrets.RANDOM]],
+        F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans"))
+
+
 QUERIES = {
     "op1_mixing": mixing_query,
     "op2_minhash": near_query,
@@ -65,6 +88,9 @@ QUERIES = {
     "op8_decontamination": decontamination_query,
     "op9_licenses": license_query,
     "op10_language": language_query,
+    "op11_divergence": divergence_query,
+    "op12_infilling": infilling_query,
+    "op13_secrets": secret_query,
 }
 
 ORACLE = {
@@ -101,4 +127,45 @@ SELECT doc_id, coalesce(len(w), 0)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGIN
   coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AS contaminated
 FROM dw LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op11_divergence": r"""
+WITH g AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS row,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+words AS (SELECT lang, source, row, unnest(w) AS term FROM g),
+kept AS (SELECT lang, term, count(*) AS lang_n FROM words GROUP BY lang, term HAVING count(DISTINCT row) >= 3),
+langs AS (SELECT lang, coalesce(sum(lang_n), 0)::HUGEINT AS n, count(term)::HUGEINT AS v
+  FROM (SELECT DISTINCT lang FROM g) LEFT JOIN kept USING (lang) GROUP BY lang),
+counts AS (SELECT lang, source, term, count(*)::HUGEINT AS c FROM words JOIN kept USING (lang, term) GROUP BY ALL),
+groups AS (SELECT lang, source, coalesce(sum(c), 0)::HUGEINT AS n
+  FROM (SELECT DISTINCT lang, source FROM g) LEFT JOIN counts USING (lang, source) GROUP BY ALL),
+p AS (SELECT lang, source, term, coalesce(c, 0) AS c, 1 + 1000000000 * (coalesce(c, 0) + 1) // (groups.n + v) AS p,
+    1 + 1000000000 * (lang_n + 1)::HUGEINT // (langs.n + v) AS q
+  FROM groups JOIN langs USING (lang) JOIN kept USING (lang) LEFT JOIN counts USING (lang, source, term)),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+every AS (SELECT a.lang, a.source, b.source AS item FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source)
+SELECT lang, source, 'pair' AS part, item, coalesce(value, 0)::BIGINT AS value,
+  row_number() OVER (PARTITION BY lang, source ORDER BY coalesce(value, 0) DESC, item)::INT AS rank
+FROM every LEFT JOIN pairs USING (lang, source, item)
+UNION ALL
+SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT,
+  row_number() OVER (PARTITION BY lang, source ORDER BY (p - q) * (p - q) // q DESC, term)::INT AS rank
+FROM p WHERE c > 0 AND p > q QUALIFY rank <= 200""",
+    "op12_infilling": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || doc_id) AS h FROM documents),
+u AS (SELECT doc_id, text, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS u,
+    ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[17:24])::BIGINT AS h3,
+    ('0x' || h[25:32])::BIGINT AS h4 FROM d),
+c AS (SELECT *, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS low,
+    greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS high,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90
+      THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+s AS (SELECT doc_id, n, form, text, array_to_string(u[1:low], '') AS prefix, array_to_string(u[low + 1:high], '') AS middle,
+    array_to_string(u[high + 1:], '') AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM s""",
 }
