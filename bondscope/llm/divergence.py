@@ -7,7 +7,7 @@ and in the language, so it is found once for each pair of counts.
 from collections import Counter
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -17,31 +17,40 @@ from bondscope.llm.common import hot_keys, spread_join, stored
 LEAST_DOCS = 3
 TOP_TERMS = 200
 SCALE = 1_000_000_000
-#: Distinct (lang, source, term) that a task counts before it hands its counts on.
-HELD_TERMS = 200_000
-BLANK = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
+#: Distinct (lang, source, term) from which on a task hands its counts on, asked after each batch.
+HELD_TERMS = 400_000
+#: Terms are runs of ASCII letters, in lower case, and of all bytes beyond ASCII.
+FOLDED = bytes(c if c >= 128 else ord(chr(c).lower()) if chr(c).isalpha() else 32 for c in range(256))
 WIDE = "decimal(38,0)"
+COUNTS = "lang string, source string, term string, n long, docs long"
 
 
-def _counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Partial counts of occurrences and of documents; at most about HELD_TERMS are held."""
-    held: dict[tuple, list[int]] = {}
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Partial counts of occurrences and of documents; at most about HELD_TERMS are held.
 
-    def rows() -> pd.DataFrame:
-        return pd.DataFrame(
-            [(*key, term.decode(errors="replace"), n, docs) for (*key, term), (n, docs) in held.items()],
-            columns=["lang", "source", "term", "n", "docs"])
-
-    for frame in frames:
-        for lang, source, text in zip(frame.lang, frame.source, frame.text):
-            for term, n in Counter(text.encode(errors="replace").lower().translate(BLANK).split()).items():
-                entry = held.setdefault((lang, source, term), [0, 0])
-                entry[0] += n
-                entry[1] += 1
-            if len(held) > HELD_TERMS:
-                yield rows()
-                held.clear()
-    yield rows()
+    Texts come as UTF-8 bytes.
+    """
+    held: dict[tuple, tuple[Counter, Counter]] = {}
+
+    def handed_on() -> Iterator[pa.RecordBatch]:
+        for (lang, source), (n, docs) in held.items():
+            terms = list(n)
+            yield pa.RecordBatch.from_arrays([
+                pa.repeat(pa.scalar(lang, pa.string()), len(terms)), pa.repeat(pa.scalar(source, pa.string()), len(terms)),
+                pa.array(terms, pa.binary()).cast(pa.string()), pa.array(list(n.values()), pa.int64()),
+                pa.array([docs[t] for t in terms], pa.int64()),
+            ], ["lang", "source", "term", "n", "docs"])
+        held.clear()
+
+    for batch in batches:
+        for lang, source, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "text"))):
+            n, docs = held.setdefault((lang, source), (Counter(), Counter()))
+            terms = text.translate(FOLDED).split()
+            n.update(terms)
+            docs.update(set(terms))
+        if sum(len(n) for n, _ in held.values()) > HELD_TERMS:
+            yield from handed_on()
+    yield from handed_on()
 
 
 def share(count: Column, total: Column, terms: Column) -> Column:
@@ -64,9 +73,9 @@ def _tables(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Kept terms of every group with their counts, and the groups with their sums."""
     empty = F.lit("")
     given = docs.select(*[F.coalesce(F.col(c).cast("string"), empty).alias(c) for c in ("lang", "source", "text")])
-    counts = stored(given.mapInPandas(
-        _counted, "lang string, source string, term string, n long, docs long"
-    ).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "counts")
+    partial = given.withColumn("text", F.col("text").cast("binary")).mapInArrow(_counted, COUNTS)
+    counts = stored(partial.groupBy("lang", "source", "term").agg(
+        F.sum("n").alias("n"), F.sum("docs").alias("docs")), "counts")
     kept = counts.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("docs"))
     kept = stored(kept.where(F.col("docs") >= LEAST_DOCS).drop("docs"), "kept")
     rows = stored(counts.drop("docs").join(kept, ["lang", "term"]).select(
@@ -122,13 +131,13 @@ def _pairs(rows: DataFrame, groups: DataFrame) -> DataFrame:
     a, b = shares.alias("a"), shares.alias("b")
     both = a.join(b, (F.col("a.lang") == F.col("b.lang")) & (F.col("a.term") == F.col("b.term"))
                   & (F.col("a.source") < F.col("b.source")))
-    pa, a0, pb, b0 = F.col("a.p"), F.col("a.p0"), F.col("b.p"), F.col("b.p0")
+    p_a, a0, p_b, b0 = F.col("a.p"), F.col("a.p0"), F.col("b.p"), F.col("b.p0")
 
     def mended(p: Column, p0: Column, q: Column, q0: Column) -> Column:
         return (strayed(p, q).cast(WIDE) - strayed(p, q0) - strayed(p0, q) + strayed(p0, q0)).cast(WIDE)
 
     both = both.groupBy(F.col("a.lang").alias("lang"), F.col("a.source").alias("x"), F.col("b.source").alias("y")).agg(
-        _sum(mended(pa, a0, pb, b0)).alias("there"), _sum(mended(pb, b0, pa, a0)).alias("back"))
+        _sum(mended(p_a, a0, p_b, b0)).alias("there"), _sum(mended(p_b, b0, p_a, a0)).alias("back"))
     # Distinct shares of a source with the number of its terms; the share of a term it lacks
     # counts V - present times as the first of a pair, and -present times as the second.
     cells = shares.groupBy("lang", "source", "p").agg(F.count("*").alias("m")).withColumn("m_back", F.col("m"))
