@@ -28,3 +28,22 @@ def settled(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: later jobs read the stored rows and survive a lost executor."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def handed_over(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write rows to a path of their own and read them back; ``removed`` takes the path away again."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path as it knows it: any store that Spark reads."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a hand-over table that no later job reads."""
+    files, place = file_system(spark, path)
+    files.delete(place, True)
