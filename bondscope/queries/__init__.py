@@ -1,6 +1,6 @@
 """Every operator as a query on the test tables, with check SQL where SQL can express it."""
 
-from bondscope.queries import analysis, features, learned, pairs, rows
+from bondscope.queries import analysis, boosted, features, learned, pairs, rows
 
-QUERIES = {**rows.QUERIES, **pairs.QUERIES, **analysis.QUERIES, **features.QUERIES, **learned.QUERIES}
-ORACLE = {**rows.ORACLE, **pairs.ORACLE, **analysis.ORACLE, **features.ORACLE}
+QUERIES = {**rows.QUERIES, **pairs.QUERIES, **analysis.QUERIES, **features.QUERIES, **learned.QUERIES, **boosted.QUERIES}
+ORACLE = {**rows.ORACLE, **pairs.ORACLE, **analysis.ORACLE, **features.ORACLE, **boosted.ORACLE}
