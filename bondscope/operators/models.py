@@ -5,7 +5,6 @@ from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
-from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, OneVsRest
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
@@ -17,6 +16,9 @@ from pyspark.sql import types as T
 from bondscope import names
 from bondscope.functions.columns import MAX_CATEGORIES, TIME_PARTS, categories, complete_rows
 from bondscope.functions.columns import text_columns, time_columns
+from bondscope.operators import boosting as boosting_trees
+from bondscope.operators.boosting import Symmetric, SymmetricModel
+from bondscope.sources import registry
 from bondscope.storage import shared_folder
 
 VECTOR = "_features"
@@ -97,18 +99,18 @@ def _fit_classifier(shaped: DataFrame, target: str, boosting: Boosting, max_clas
         maxDepth=boosting.depth,
         seed=boosting.seed,
     )
-    booster.setRawPredictionCol(RAW + target).setProbabilityCol(f"_probability_{target}")
+    every = "*"
     if len(classes) > 2:
+        # The boosters inside lose a raw column of another name when they are saved, so the
+        # default name stays and its column goes before the next target.
+        every = f"* EXCEPT ({booster.getRawPredictionCol()})"
         booster = OneVsRest(
-            classifier=booster,
-            featuresCol=VECTOR,
-            labelCol="_label",
-            predictionCol=f"_place_{target}",
-            rawPredictionCol=RAW + target,
-        )
+            classifier=booster, featuresCol=VECTOR, labelCol="_label", predictionCol=f"_place_{target}")
+    else:
+        booster.setRawPredictionCol(RAW + target).setProbabilityCol(f"_probability_{target}")
     values = ", ".join(str(c) for c in classes)
     back = f"element_at(array({values}), int(`_place_{target}`) + 1)"
-    named = SQLTransformer(statement=f"SELECT *, {back} AS `{PREDICTED}{target}` FROM __THIS__")
+    named = SQLTransformer(statement=f"SELECT {every}, {back} AS `{PREDICTED}{target}` FROM __THIS__")
     return [booster.fit(labelled), named]
 
 
@@ -116,15 +118,18 @@ def fit(
     train: DataFrame,
     features: Sequence[str] = names.MODEL_FEATURES,
     targets: Sequence[str] = names.SCOPE_TARGETS,
-    boosting: Boosting = Boosting(),
+    boosting: Boosting | Symmetric = Symmetric(),
     parallel: int = 4,
     max_categories: int = MAX_CATEGORIES,
-) -> PipelineModel:
-    """Fit one booster per target over one shared feature vector.
+    key: Sequence[str] = (),
+) -> PipelineModel | SymmetricModel:
+    """Fit symmetric trees, or with ``Boosting`` one Spark booster per target over a shared vector.
 
     Rows with a missing feature or target are left out. The result holds everything from
     raw features to predictions, so training and scoring cannot differ in their columns.
     """
+    if isinstance(boosting, Symmetric):
+        return boosting_trees.fit(train, features, targets, boosting, key)
     shared_folder(train.sparkSession)  # long boosting cuts its lineage by checkpoints
     data = complete_rows(train.select(*dict.fromkeys([*features, *targets])))
     stages = _feature_stages(data, features, max_categories)
@@ -146,7 +151,7 @@ def fit(
 
 
 def score(
-    model: PipelineModel,
+    model: PipelineModel | SymmetricModel,
     df: DataFrame,
     features: Sequence[str] = names.MODEL_FEATURES,
     targets: Sequence[str] = names.SCOPE_TARGETS,
@@ -156,13 +161,17 @@ def score(
 
     The key travels in the row, so predictions cannot move to another key. No shuffle.
     """
+    if isinstance(model, SymmetricModel):
+        return boosting_trees.score(model, df, key).select(*key, *targets)
     inputs = df.select(*dict.fromkeys([*key, *features]))
     scored = model.transform(complete_rows(inputs, features))
     return scored.select(*key, *[F.col(PREDICTED + t).alias(t) for t in targets])
 
 
-def parameters(model: PipelineModel) -> dict[str, object]:
+def parameters(model: PipelineModel | SymmetricModel) -> dict[str, object]:
     """Iterations and learning rate of the boosters in the model."""
+    if isinstance(model, SymmetricModel):
+        return {"iterations": max(map(len, model.trees)), "learning_rate": model.settings.learning_rate}
     for stage in model.stages:
         booster = stage.models[0] if hasattr(stage, "models") else stage
         if hasattr(booster, "trees"):
@@ -170,30 +179,23 @@ def parameters(model: PipelineModel) -> dict[str, object]:
     raise ValueError("the model has no booster")
 
 
-def _versions(spark: SparkSession, base: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(f"{base}/versions")
-    except AnalysisException:
-        return None
-
-
 def latest_version(spark: SparkSession, base: str, model_id: str) -> int:
-    """Newest version of a model; 0 without one."""
-    known = _versions(spark, base)
-    if known is None:
-        return 0
-    newest = known.where(F.col("model_id") == model_id).agg(F.max("version")).first()[0]
-    return newest or 0
+    """Newest complete version of a model; 0 without one."""
+    return max(registry.versions(spark, base, model_id), default=0)
 
 
-def save_model(model: PipelineModel, spark: SparkSession, base: str, model_id: str) -> int:
+def save_model(
+    model: PipelineModel | SymmetricModel,
+    spark: SparkSession,
+    base: str,
+    model_id: str,
+    parent: int | None = None,
+) -> int:
     """Save the model as the next version under its name and return the version."""
-    version = latest_version(spark, base, model_id) + 1
-    model.write().overwrite().save(f"{base}/{model_id}/{version}")
-    # The version is listed only after it is complete.
-    row = spark.createDataFrame([(model_id, version)], "model_id string, version int")
-    row.write.mode("append").parquet(f"{base}/versions")
-    return version
+    if isinstance(model, SymmetricModel):
+        return registry.publish(
+            spark, base, model_id, lambda path: boosting_trees.save(model, spark, path), kind="symmetric", parent=parent)
+    return registry.publish(spark, base, model_id, lambda path: model.write().save(path), kind="pipeline", parent=parent)
 
 
 def load_model(
@@ -201,10 +203,13 @@ def load_model(
     base: str,
     model_id: str,
     version: int | str = "latest",
-) -> PipelineModel:
+) -> PipelineModel | SymmetricModel:
     """Load a version of a model by name."""
     if version == "latest":
         version = latest_version(spark, base, model_id)
-        if not version:
-            raise ValueError(f"no version of {model_id} below {base}")
-    return PipelineModel.load(f"{base}/{model_id}/{version}")
+    if version not in registry.versions(spark, base, model_id):
+        raise ValueError(f"no version of {model_id} below {base}")
+    path = registry.version_path(base, model_id, version)
+    if registry.facts(spark, base, model_id, version)["kind"] == "symmetric":
+        return boosting_trees.load(spark, path)
+    return PipelineModel.load(path)

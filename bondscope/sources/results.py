@@ -1,28 +1,29 @@
 """Stores for predictions, metrics, parameters, records and reports."""
 
+import string
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bondscope import names
-from bondscope.functions.columns import clean_run_id
+from bondscope.storage import file_system
 
 # Fixed value: status logged with the parameters of a model.
 MODEL_STATUS = "normal"
 
 
+def _run_folder(spark: SparkSession, path: str, model_id: str, run_id: str) -> str:
+    """Folder of one run, named as Spark names partitions; ids stay text, so 1 is not 01."""
+    escaped = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    marks = str.maketrans(string.punctuation, "-" * len(string.punctuation))
+    return f"{path}/model_id={escaped(model_id)}/run_id={escaped(run_id.translate(marks))}"
+
+
 def save_predictions(predictions: DataFrame, path: str, model_id: str, run_id: str) -> None:
-    """Store the predictions of one run; a repeated run replaces itself and no other run."""
-    keyed = predictions.withColumns(
-        {"model_id": F.lit(model_id), "run_id": clean_run_id(F.lit(run_id))}
-    )
-    (
-        keyed.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("model_id", "run_id")
-        .parquet(path)
-    )
+    """Store the predictions of one run; a repeated run replaces itself, also by no rows, and no other run."""
+    predictions.write.mode("overwrite").parquet(_run_folder(predictions.sparkSession, path, model_id, run_id))
 
 
 def load_predictions(
@@ -33,9 +34,12 @@ def load_predictions(
     targets: Sequence[str],
     key: Sequence[str] = (names.KEY,),
 ) -> DataFrame:
-    """Key and targets of one run; only its folder is read."""
-    run = (F.col("model_id") == model_id) & (F.col("run_id") == clean_run_id(F.lit(run_id)))
-    return spark.read.parquet(path).where(run).select(*key, *targets)
+    """Key and targets of one run; only its folder is read. A run that was never stored has no rows."""
+    folder = _run_folder(spark, path, model_id, run_id)
+    files, place = file_system(spark, folder)
+    if files.exists(place):
+        return spark.read.parquet(folder).select(*key, *targets)
+    return spark.read.parquet(path).where(F.lit(False)).select(*key, *targets)
 
 
 def _tidy(kind: str, model_id: str, run_id: str) -> list[Column]:
@@ -78,9 +82,14 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def json_records(df: DataFrame, **constants: str) -> DataFrame:
-    """One column ``record``: each row as a JSON object, with constant fields such as run ids."""
+    """One column ``record``: each row as a JSON object, with constant fields such as run ids.
+
+    Missing values are null fields; JSON has no NaN, which becomes null too.
+    """
     fields = [F.lit(v).alias(k) for k, v in constants.items()]
-    return df.select(F.to_json(F.struct(*fields, *df.columns)).alias("record"))
+    floats = {f.name for f in df.schema if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
+    values = [F.when(~F.isnan(c), F.col(c)).alias(c) if c in floats else F.col(c) for c in df.columns]
+    return df.select(F.to_json(F.struct(*fields, *values), {"ignoreNullFields": "false"}).alias("record"))
 
 
 def write_records(records: DataFrame, path: str) -> None:

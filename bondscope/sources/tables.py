@@ -1,8 +1,8 @@
 """Reading and writing tables and files."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from bondscope import names
 from bondscope.functions.columns import nan_to_null
@@ -38,16 +38,46 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
-# The default patterns of the CSV source cut timestamps to milliseconds.
-_TIMES = {
+# The default patterns of the CSV source cut timestamps to milliseconds, and its defaults trim
+# text and read empty text as null. A null is \\N, a mark that escaped text cannot hold.
+_OPTIONS = {
+    "header": "true",
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "nullValue": "\\N",
+    "escape": '"',
 }
+BAD_ROW = "_bad_row"
+
+
+def _escaped(c: Column) -> Column:
+    """Text without line breaks, so that files stay splittable: backslash, line feed, carriage return."""
+    for plain, mark in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+        c = F.replace(c, F.lit(plain), F.lit(mark))
+    return c
+
+
+def _restored(c: Column) -> Column:
+    """Takes the escapes out again; pairs of backslashes are set aside first."""
+    pieces = F.split(c, r"\\\\")
+    back = lambda p: F.replace(F.replace(p, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
+    return F.array_join(F.transform(pieces, back), "\\")
+
+
+def _texts(schema: StructType) -> list[str]:
+    return [f.name for f in schema if isinstance(f.dataType, StringType)]
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write a CSV folder with a header in every file."""
-    df.write.mode(mode).option("header", True).options(**_TIMES).csv(path)
+    """Write a CSV folder with a header in every file; any text comes back as it was."""
+    escaped = df.withColumns({c: _escaped(F.col(c)) for c in _texts(df.schema)})
+    escaped.write.mode(mode).options(**_OPTIONS).csv(path)
+
+
+def _schema(schema: StructType | str) -> StructType:
+    return schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
@@ -55,7 +85,23 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFr
 
     The schema saves the extra pass that type inference needs, and parses timestamps.
     """
-    return nan_to_null(spark.read.option("header", True).options(**_TIMES).schema(schema).csv(path))
+    return checked_csv(spark, path, schema)[0]
+
+
+def checked_csv(spark: SparkSession, path: str, schema: StructType | str) -> tuple[DataFrame, DataFrame]:
+    """Good rows, and bad rows with their ``line`` and the ``reason``, from the same scan of the text.
+
+    A row is bad if it has another number of fields than the schema or a value that is not of
+    its type. Good rows have every column of the schema.
+    """
+    wanted = _schema(schema)
+    found = spark.read.options(**_OPTIONS, columnNameOfCorruptRecord=BAD_ROW, mode="PERMISSIVE").schema(
+        StructType([*(StructField(f.name, f.dataType) for f in wanted), StructField(BAD_ROW, StringType())])).csv(path)
+    good = found.where(F.col(BAD_ROW).isNull()).drop(BAD_ROW)
+    good = nan_to_null(good.withColumns({c: _restored(F.col(c)) for c in _texts(wanted)}))
+    unread = F.concat_ws(", ", *[F.when(F.col(f"`{f.name}`").isNull(), F.lit(f.name)) for f in wanted])
+    reason = F.concat(F.lit("not of its type, or missing: "), unread)
+    return good, found.where(F.col(BAD_ROW).isNotNull()).select(F.col(BAD_ROW).alias("line"), reason.alias("reason"))
 
 
 def save_split(train: DataFrame, test: DataFrame, train_path: str, test_path: str) -> None:
