@@ -5,15 +5,12 @@ from datetime import date as Date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from bondscope import names
-from bondscope.operators.ranks import chunker, ranked_values
+from bondscope.operators.selection import first_in_order
 
 # Fixed value: rows in the reference period of the drift report.
 REFERENCE_ROWS = 400_000
-# Up to this many rows one task may merge the sorted tops of all partitions.
-SMALL_TOP = 10_000
 
 
 def _as_list(value) -> list:
@@ -79,50 +76,11 @@ def newest(
 ) -> DataFrame:
     """The n newest rows by ``order``; rows of equal time are taken in the order of the key.
 
-    A large n would send n rows of every partition to one task. So the time of the n-th
-    row is found from distributed ranks, and the rows are selected by comparing with it,
-    a filter that reaches the file scan. Key and time together have to be unique.
+    One way for every n and every orderable type: see ``selection``. ``chunks`` tells how small a
+    part of the rows may be sorted at last. Rows without a time come last.
     """
-    if n <= SMALL_TOP and chunks is None:
-        return df.orderBy(F.col(order).desc(), *key).limit(n)
-    scaled, restored = _scale(df.schema[order].dataType)
-    times = df.select(scaled(F.col(order)).cast("double").alias("x"))
-    newer = F.col("n_total") - F.col("n_le")
-    cut = (
-        ranked_values(times, ["x"], chunker(times, ["x"], chunks))
-        .where(newer + F.col("n") >= n)
-        .agg(F.max(F.struct("x", newer.alias("newer"), "n")).alias("cut"))
-        .first()["cut"]
-    )
-    if cut is None:  # fewer than n rows with a time: all of them, then rows without a time
-        missing = n - df.where(F.col(order).isNotNull()).count()
-        rest = df.where(F.col(order).isNull()).orderBy(*key).limit(missing)
-        return df.where(F.col(order).isNotNull()).unionByName(rest)
-    edge = restored(cut["x"])
-    wanted = n - cut["newer"]
-    if wanted == cut["n"]:
-        return df.where(F.col(order) >= edge)
-    # Only the key of the rows at the edge is sorted, not the rows.
-    at_edge = df.where(F.col(order) == edge)
-    this_key = F.struct(*[F.col(k) for k in key])
-    last = at_edge.select(*key).orderBy(*key).limit(wanted).agg(F.max(this_key).alias("last"))
-    chosen = (F.col(order) == edge) & (this_key <= last.scalar())
-    return df.where(F.col(order) >= edge).where((F.col(order) > edge) | chosen)
-
-
-def _scale(kind: T.DataType):
-    """Functions between a column of this type and a number in the same order."""
-    if isinstance(kind, T.TimestampNTZType):
-        zero = F.lit("1970-01-01").cast("timestamp_ntz")
-        return (
-            lambda c: F.timestamp_diff("MICROSECOND", zero, c),
-            lambda x: F.timestamp_add("MICROSECOND", F.lit(int(x)), zero),
-        )
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros, lambda x: F.timestamp_micros(F.lit(int(x)))
-    if isinstance(kind, T.DateType):
-        return F.unix_date, lambda x: F.date_from_unix_date(F.lit(int(x)))
-    return lambda c: c, lambda x: F.lit(x).cast(kind)
+    most = None if chunks is None else max(1, df.count() // chunks)
+    return first_in_order(df, n, order, key, most)
 
 
 def first_rows(df: DataFrame, key: Sequence[str] = (names.KEY,), n: int | None = None) -> DataFrame:

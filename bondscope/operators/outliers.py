@@ -55,12 +55,12 @@ def outlier_scores(
     na: str = "raise",
     chunks: int | None = None,
 ) -> DataFrame:
-    """ECOD score of every row: key columns, row fingerprint, score.
+    """ECOD score of every row: key columns, row fingerprint, score, copies.
 
     ``combine="feature"`` takes the largest tail of each column and adds the columns, as
     the PyOD implementation does (both tails where the skewness is exactly 0);
     ``combine="row"`` adds each tail over the columns and takes the largest sum, as in the
-    paper. Equal rows appear once.
+    paper. Equal rows appear once, with the number of their ``copies``.
     """
     if combine not in ("feature", "row"):
         raise ValueError("combine must be 'feature' or 'row'")
@@ -97,9 +97,10 @@ def outlier_scores(
     far = cells.join(F.broadcast(frequent.select(*on)), on, "left_anti").join(rare, on)
     # Equal rows fall into one group; its cells are their number times the columns.
     copies = F.count("*") / F.lit(len(columns))
-    sums = near.unionByName(far).groupBy(*key, ROW).agg(*[(F.sum(t) / copies).alias(t) for t in tails])
+    sums = near.unionByName(far).groupBy(*key, ROW).agg(
+        *[(F.sum(t) / copies).alias(t) for t in tails], copies.cast("long").alias("copies"))
     total = F.col("best") if combine == "feature" else F.greatest("left", "right", "auto")
-    scores = settled(sums.select(*key, ROW, (total / FRACTION).alias("score")))
+    scores = settled(sums.select(*key, ROW, (total / FRACTION).alias("score"), "copies"))
     weights.unpersist()
     return scores
 
@@ -112,10 +113,12 @@ def outlier_threshold(
 ) -> DataFrame:
     """One row ``threshold``: the score quantile above which the expected share of rows lies.
 
+    Copies of a row count each for itself.
     ``exact=False`` uses the approximate percentile, cheaper on very large data.
     """
     if exact:
-        quantile = exact_quantile(scores, "score", 1 - contamination, chunks)
+        weight = "copies" if "copies" in scores.columns else None
+        quantile = exact_quantile(scores, "score", 1 - contamination, chunks, weight)
         return quantile.withColumnRenamed("quantile", "threshold")
     return scores.agg(F.percentile_approx("score", 1 - contamination, 10_000).alias("threshold"))
 

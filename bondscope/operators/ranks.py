@@ -160,14 +160,15 @@ def ranked_values(
     df: DataFrame,
     columns: Sequence[str],
     cuts: list[list[float]] | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
-    """Distinct values of each column with count n, n_le (values <= x) and n_total."""
-    counts = (
-        chunked_form(df, columns, cuts=cuts)
-        .groupBy("feature", "chunk", "x")
-        .agg(F.count("*").alias("n"))
-    )
-    return running_totals(counts, ["n"])
+    """Distinct values of each column with count n, n_le (values <= x) and n_total.
+
+    With ``weight``, a column of whole numbers, a row counts that many times.
+    """
+    cells = chunked_form(df, columns, [weight] if weight else (), cuts)
+    rows = F.sum(weight) if weight else F.count("*")
+    return running_totals(cells.groupBy("feature", "chunk", "x").agg(rows.alias("n")), ["n"])
 
 
 def order_statistic(position: Column) -> Column:
@@ -190,17 +191,27 @@ def interpolated(parts: Column) -> Column:
     return parts["below"] + (parts["above"] - parts["below"]) * parts["part"]
 
 
-def exact_quantile(df: DataFrame, column: str, share: float, chunks: int | None = None) -> DataFrame:
+def exact_quantile(
+    df: DataFrame,
+    column: str,
+    share: float,
+    chunks: int | None = None,
+    weight: str | None = None,
+) -> DataFrame:
     """One row, one column ``quantile``: exact, with linear interpolation.
 
+    With ``weight``, a column of whole numbers, a row counts that many times.
+
     Approximate quantiles with a guaranteed error enclose the wanted one; only the values
     between them, some percent of all, are ranked, and the smaller ones are counted.
     """
-    values = df.select(number(column).alias("x")).where(F.col("x").isNotNull())
+    times = F.lit(1) if weight is None else F.col(weight)
+    values = df.select(number(column).alias("x"), times.cast("long").alias("times")).where(F.col("x").isNotNull())
     around = [max(0.0, share - 0.01), min(1.0, share + 0.01)]
     low, high = values.approxQuantile("x", around, 0.005) or [-inf, inf]
     rows, below, enclosed = values.agg(
-        F.count("*"), F.count_if(F.col("x") < low), F.count_if(F.col("x") <= high)
+        *[F.coalesce(F.sum(F.when(kept, F.col("times"))), F.lit(0))
+          for kept in (F.lit(True), F.col("x") < low, F.col("x") <= high)]
     ).first()
     at = max(rows - 1, 0) * share
     first, second = int(at), min(int(at) + 1, max(rows - 1, 0))
@@ -208,7 +219,7 @@ def exact_quantile(df: DataFrame, column: str, share: float, chunks: int | None
         values = values.where(F.col("x").between(low, high))
     else:
         below = 0
-    ranked = ranked_values(values, ["x"], chunker(values, ["x"], chunks))
+    ranked = ranked_values(values, ["x"], chunker(values, ["x"], chunks), "times")
     lower = order_statistic(F.lit(first - below))
     upper = order_statistic(F.lit(second - below))
     return ranked.agg((lower + (upper - lower) * F.lit(at - first)).alias("quantile"))

@@ -27,7 +27,7 @@ def standardised(spark, sf):
 
 def _scores(spark, sf, combine):
     scores = outliers.outlier_scores(lineitem(spark, sf), LINE_SENSORS, LINE_KEY, combine)
-    return rounded(scores.drop(outliers.ROW), "score")
+    return rounded(scores.drop(outliers.ROW, "copies"), "score")
 
 
 def outlier_scores(spark, sf):
@@ -50,6 +50,13 @@ def outlier_rows(spark, sf):
     return outliers.outliers(lineitem(spark, sf), LINE_SENSORS, LINE_KEY)
 
 
+def outliers_of_repeated_lots(spark, sf):
+    """A lot that is given twice has its rows twice, in the scores and in the threshold."""
+    rows = lineitem(spark, sf)
+    twice = rows.unionAll(rows.where(F.col("l_returnflag") == "R"))
+    return outliers.outliers(twice, LINE_SENSORS, LINE_KEY)
+
+
 def column_drift(spark, sf):
     report = drift.column_drift(reference(spark, sf), current(spark, sf), LINE_SENSORS)
     return rounded(report, "distance", "normed_distance")
@@ -121,6 +128,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         standardised, outlier_scores, outlier_scores_by_row, outlier_threshold, outlier_rows,
+        outliers_of_repeated_lots,
         column_drift, drift_between_lots, dataset_drift, column_profile, time_profile,
         dataset_summary, analysis_outliers, analysis_drift,
     )
@@ -232,6 +240,7 @@ ORACLE = {
                round((SELECT quantile_cont(score, 0.999) FROM scored), 6) AS threshold
         FROM scored""",
     "outlier_rows": _outliers(_LINES, _COLUMNS),
+    "outliers_of_repeated_lots": _outliers(f"(SELECT * FROM {_LINES} UNION ALL SELECT * FROM {_RETURNED})", _COLUMNS),
     "column_drift": _drift(_REFERENCE, _CURRENT),
     "drift_between_lots": _drift(_RETURNED, _LARGE),
     "dataset_drift": f"""

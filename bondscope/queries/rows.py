@@ -112,6 +112,17 @@ def newest_lineitems(spark, sf):
     return lots.newest(lineitem(spark, sf), 20_000, "l_shipdate", LINE_KEY)
 
 
+def newest_by_text(spark, sf):
+    """The order is a text with very few values, so that nearly every row is a tie."""
+    return lots.newest(load(spark, sf, "orders"), 5_000, "o_orderpriority", ["o_orderkey"])
+
+
+def newest_repeated_rows(spark, sf):
+    """Every row three times: copies at the last place are as good as each other."""
+    rows = lineitem(spark, sf)
+    return lots.newest(rows.unionAll(rows).unionAll(rows), 12_500, "l_shipdate", LINE_KEY)
+
+
 def reference_period(spark, sf):
     return lots.newest(lots.before(events(spark, sf), "2024-01-20"), order="ts", key=["event_id"])
 
@@ -138,7 +149,8 @@ QUERIES = {
         scan_customer, discovered_columns, parquet_round_trip, csv_round_trip,
         split_csv_round_trip, projection, column_drop, label_split, lot_filter,
         lot_filter_on_timestamp, before_date, several_lots, complete_rows, nan_to_null,
-        listed_numeric, scaled_amount, newest_events, newest_lineitems, reference_period,
+        listed_numeric, scaled_amount, newest_events, newest_lineitems, newest_by_text, newest_repeated_rows,
+        reference_period,
         first_rows_of_lot, union_of_lots, split_by_lots,
     )
 }
@@ -199,6 +211,10 @@ ORACLE = {
     "newest_lineitems": """
         SELECT *, l_extendedprice AS price_key FROM lineitem
         ORDER BY l_shipdate DESC, l_orderkey, l_linenumber, l_extendedprice LIMIT 20000""",
+    "newest_by_text": "SELECT * FROM orders ORDER BY o_orderpriority DESC, o_orderkey LIMIT 5000",
+    "newest_repeated_rows": """
+        SELECT lineitem.*, l_extendedprice AS price_key FROM lineitem, range(3) AS copies(i)
+        ORDER BY l_shipdate DESC, l_orderkey, l_linenumber, l_extendedprice LIMIT 12500""",
     "reference_period": f"""
         SELECT * FROM {_EVENTS} WHERE date < DATE '2024-01-20'
         ORDER BY ts DESC, event_id LIMIT 400000""",
