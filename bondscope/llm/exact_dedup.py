@@ -101,7 +101,7 @@ class LiveIndex:
 
 def _bucket(frame: pd.DataFrame) -> pd.DataFrame:
     index = LiveIndex(len(frame))
-    ids = [None if missing else int(i) for i, missing in zip(frame.doc_id.fillna(0), frame.doc_id.isna())]
+    ids = [None if i is None else int(i) for i in frame.doc_id]  # text: numbers beside nulls would be doubles
     for digest, chars, doc_id, size in zip(frame.digest, frame.chars, ids, frame["size"]):
         index.add(bytes(digest), int(chars), doc_id, int(size))
     rows = index.rows
@@ -125,13 +125,13 @@ def exact_groups(docs: DataFrame) -> DataFrame:
         F.length(text).cast("long").alias("chars"),
         F.unhex(F.sha2(F.regexp_replace(text, r"[\x20\x09-\x0D]", ""), 256)).alias("digest"),
     ), "digests")
-    best = F.max(F.struct(F.col("chars"), (-F.col("doc_id")).alias("order")))
+    best = F.max(F.struct(F.col("chars"), F.bitwise_not("doc_id").alias("order")))  # falls as the id rises
     # Split by a hash of the row first: a text with a third of all rows becomes PARTS rows.
     partial = rows.groupBy("digest", F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).alias("part")).agg(
         best.alias("best"), F.count("*").alias("size"))
     buckets = max(1, -(-rows.count() // BUCKET_DIGESTS))
     partial = partial.select(
-        "digest", "best.chars", (-F.col("best.order")).alias("doc_id"), "size",
+        "digest", "best.chars", F.bitwise_not("best.order").cast("string").alias("doc_id"), "size",
         F.pmod(F.xxhash64("digest"), F.lit(buckets)).alias("bucket"))
     keepers = stored(partial.groupBy("bucket").applyInPandas(
         _bucket, "digest binary, keep_id long, group_size long"), "keepers")
