@@ -129,8 +129,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         known: dict[bytes, int] = {}
         for frame in frames:
             out = []
-            ids = frame.doc_id.astype("Int64").astype(object).where(frame.doc_id.notna(), None)
-            for doc_id, key, text in zip(ids, frame.key, frame.text):
+            for doc_id, key, text in zip(frame.doc_id, frame.key, frame.text):
                 tokens = words(text)
                 hashes = word_hashes(tokens, known)
                 out.append((doc_id, key, len(tokens), None, None, None, None))
@@ -144,12 +143,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 continue
             columns = zip(("doc_id", "key", "n_words", "token", "at", "low", "near"), zip(*out))
             # Whole numbers beside nulls would pass through doubles without a type of their own.
-            yield pd.DataFrame({name: pd.array(found, dtype="object" if name == "near" else "Int64") for name, found in columns})
+            yield pd.DataFrame({name: pd.array(found, dtype="object" if name in ("doc_id", "near") else "Int64") for name, found in columns})
 
-    keyed = rows.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "text")
+    # Ids travel as text: numbers beside nulls would pass through doubles.
+    keyed = rows.select(F.col("doc_id").cast("string").alias("doc_id"), F.xxhash64("doc_id", "text").alias("key"), "text")
     path = fresh_path(spark, "met")
-    keyed.mapInPandas(
-        meet, "doc_id long, key long, n_words long, token long, at long, low long, near string").write.parquet(path)
+    found = keyed.mapInPandas(
+        meet, "doc_id string, key long, n_words long, token long, at long, low long, near string")
+    found.withColumn("doc_id", F.col("doc_id").cast("long")).write.parquet(path)
     met = spark.read.parquet(path)
     found = met.where("token IS NOT NULL").select("key", "token", "at", "low", "near")
     hot = hot_keys(found.groupBy("token").agg(F.count("*").alias("n")), "token", "n")
