@@ -150,7 +150,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed: int = 17) -
     pieces = placed.where("size > 0").select(
         "doc_id", "source_no", "start", "size",
         F.explode(F.sequence(F.floor(F.col("start") / BLOCK_WORDS), F.floor((end - 1) / BLOCK_WORDS))).alias("block"))
-    pieces = pieces.join(times, ["source_no", "block"]).select(
+    # Spark takes the drawn blocks to be as few as the shards and would broadcast them; they grow with the words.
+    pieces = pieces.join(times.hint("merge"), ["source_no", "block"]).select(
         "doc_id", "source_no", "start", "block", "times",
         (F.greatest(F.col("block") * BLOCK_WORDS, "start") - F.col("start")).alias("from_word"),
         (F.least((F.col("block") + 1) * BLOCK_WORDS, end) - F.col("start")).alias("to_word"))
