@@ -143,3 +143,42 @@ def test_lines_quality_licenses(spark, empty):
     assert kept.count() == 12 and 5 <= kept.where("kept").count() <= 7
     assert line_dedup.without_recurring_lines(empty).count() == 0
     assert quality.resampled(empty, labels).count() == 0
+
+
+def test_large_ids_beside_nulls(spark):
+    """Ids beyond 2^53 in one batch with a null id come back as they are."""
+    big = [2**60 + 1, 2**60 + 3, -(2**63)]
+    text = " ".join(f"w{i}" for i in range(30))
+    docs = spark.createDataFrame([(big[0], text), (None, "other words of one more text"), (big[1], text), (big[2], "x y")],
+                                 "doc_id long, text string").coalesce(1)
+    exact = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_groups(docs).collect()}
+    assert exact == {big[0]: (big[0], 2, True), big[1]: (big[0], 2, False), big[2]: (big[2], 1, True), None: (None, 1, True)}
+    near = {r.doc_id: (r.component_id, r.kept) for r in near_dedup.near_groups(docs).collect()}
+    assert near[big[0]] == (big[0], True) and near[big[1]] == (big[0], False) and near[big[2]] == (big[2], True)
+    bench = spark.createDataFrame([(1, text)], "item_id long, text string")
+    hit = {r.doc_id: r.contaminated for r in decontamination.contaminated(docs, bench).collect()}
+    assert hit == {big[0]: True, big[1]: True, big[2]: False, None: False}
+
+
+def test_drawn_blocks_are_not_broadcast(docs):
+    pieces, _ = mixing.mix(docs)
+    plan = pieces._jdf.queryExecution().toString()
+    join = plan[plan.index("== Physical Plan"):]
+    assert "SortMergeJoin [source_no" in join and "BroadcastHashJoin [source_no" not in join
+
+
+def test_taken_words_come_near_the_target(spark):
+    rows = [(i, " ".join(["w"] * (i % 90 + 1)), f"s{i % 7}") for i in range(3000)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    sizes = {}
+    for i, text, source in rows:
+        sizes[source] = sizes.get(source, 0) + i % 90 + 1
+    names = sorted(sizes)
+    wanted = mixing.targets([sizes[s] for s in names], [(5, 2, 1)[i % 3] for i in range(7)], sum(sizes.values()))
+    taken = {}
+    for r in mixing.mixed_documents(table).collect():
+        source = rows[r.doc_id][2]
+        taken[source] = taken.get(source, 0) + r.taken
+        assert r.taken <= 3 * r["size"] and r.target == pytest.approx(wanted[names.index(source)])
+    for name, goal in zip(names, wanted):
+        assert abs(taken[name] - goal) <= 2 * 3 * mixing.BLOCK_WORDS
