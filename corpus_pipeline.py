@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from bondscope.llm import decontamination, exact_dedup, mixing, near_dedup, toxicity
 from bondscope.llm.common import documents, stored
@@ -12,13 +13,21 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of equal texts."""
-    keep = exact_dedup.exact_groups(docs).where("kept").select(
-        F.col("doc_id").alias("keep_doc"), F.col("text_sha256").alias("keep_sha")).distinct()
+    """One row of each group of equal texts, the longest, then the one of the smallest doc_id.
+
+    Texts move once: rows meet the kept ids and are told apart from their repeats by the same
+    key. A null doc_id is an id of its own here; all columns come back, whatever their names.
+    """
+    key = "_key"
+    while key in docs.columns:
+        key += "_"
+    doc_id = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     sha = F.sha2(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]", ""), 256)
-    rows = docs.withColumn("text_sha256_", sha)
-    same = rows.doc_id.eqNullSafe(keep.keep_doc) & (rows.text_sha256_ == keep.keep_sha)
-    return rows.join(keep, same, "left_semi").dropDuplicates(["doc_id", "text_sha256_"]).drop("text_sha256_")
+    kept = exact_dedup.exact_groups(docs).where("kept").select(F.concat_ws("|", doc_id, "text_sha256").alias(key)).distinct()
+    rows = docs.withColumn(key, F.concat_ws("|", doc_id, sha)).join(kept, key, "left_semi")
+    place = F.row_number().over(Window.partitionBy(key).orderBy(F.length("text").desc(), F.col("text")))
+    rank = key + "_rank"
+    return rows.withColumn(rank, place).where(F.col(rank) == 1).select(docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
