@@ -167,11 +167,13 @@ def _key_check(predictions: str, truth: str, key: str) -> str:
                     EXCEPT SELECT {key} FROM {predictions})) AS missing_in_predictions)"""
 
 
+LOT_VIEW_OF_LOTS_SQL = f"""
+    SELECT w.user_id, {_ITEMS}, {_CUSTOMER}
+    FROM ({_widened('event_id', _DAY)}) w JOIN customer c ON w.user_id = c.c_custkey"""
+
 ORACLE = {
     "lot_view": _LOT_VIEW,
-    "lot_view_of_lots": f"""
-        SELECT w.user_id, {_ITEMS}, {_CUSTOMER}
-        FROM ({_widened('event_id', _DAY)}) w JOIN customer c ON w.user_id = c.c_custkey""",
+    "lot_view_of_lots": LOT_VIEW_OF_LOTS_SQL,
     "widened": _widened("{'a': ts, 'b': event_id}"),
     "widened_with_nulls": _widened("event_id", _NULLED),
     "widened_without_nulls": _widened("event_id", _NULLED, "arg_min"),

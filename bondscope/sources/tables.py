@@ -88,15 +88,22 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFr
     return checked_csv(spark, path, schema)[0]
 
 
-def checked_csv(spark: SparkSession, path: str, schema: StructType | str) -> tuple[DataFrame, DataFrame]:
+def checked_csv(
+    spark: SparkSession,
+    path: str,
+    schema: StructType | str,
+    header: bool = True,
+) -> tuple[DataFrame, DataFrame]:
     """Good rows, and bad rows with their ``line`` and the ``reason``, from the same scan of the text.
 
     A row is bad if it has another number of fields than the schema or a value that is not of
     its type. Good rows have every column of the schema.
     """
     wanted = _schema(schema)
-    found = spark.read.options(**_OPTIONS, columnNameOfCorruptRecord=BAD_ROW, mode="PERMISSIVE").schema(
+    found = spark.read.options(**_OPTIONS | {"header": header}, columnNameOfCorruptRecord=BAD_ROW, mode="PERMISSIVE").schema(
         StructType([*(StructField(f.name, f.dataType) for f in wanted), StructField(BAD_ROW, StringType())])).csv(path)
+    # Always true, and reads every column: one that is pruned would not be checked.
+    found = found.where(F.xxhash64(*[F.col(f"`{f.name}`") for f in wanted]) >= F.lit(-(2**63)))
     good = found.where(F.col(BAD_ROW).isNull()).drop(BAD_ROW)
     good = nan_to_null(good.withColumns({c: _restored(F.col(c)) for c in _texts(wanted)}))
     unread = F.concat_ws(", ", *[F.when(F.col(f"`{f.name}`").isNull(), F.lit(f.name)) for f in wanted])

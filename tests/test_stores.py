@@ -21,6 +21,7 @@ def test_bad_rows_come_with_their_reason(spark, tmp_path):
     (path / "part.csv").write_text("id,x,t\n1,2.5,a\nz,2.5,b\n3,\\N,c\n4,no,d\n5,1.5\n")
     good, bad = tables.checked_csv(spark, str(path), "id int, x double, t string")
     assert [tuple(r) for r in good.orderBy("id").collect()] == [(1, 2.5, "a"), (3, None, "c")]
+    assert (good.count(), bad.count(), good.where("id > 1").select("id").count()) == (2, 3, 1)
     assert {r.line: r.reason.rsplit(": ")[1] for r in bad.collect()} == {"z,2.5,b": "id", "4,no,d": "x", "5,1.5": "t"}
 
 
