@@ -14,6 +14,10 @@ from bondscope.operators.ranks import exact_quantile
 
 BUCKETS = 10_000
 SHARE = 0.5
+#: Grams that a text's weight stands for at most.
+PIECE = 32
+#: Bits of the filter on ids: at most 2^FILTER_BITS / 8 bytes (16 MB) are broadcast, whatever the labels.
+FILTER_BITS = 27
 
 
 def bag(text: str | None) -> np.ndarray:
@@ -24,41 +28,63 @@ def bag(text: str | None) -> np.ndarray:
 
 
 def _counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    raw, target = np.zeros(BUCKETS, dtype=np.int64), np.zeros(BUCKETS, dtype=np.int64)
+    found = np.zeros(BUCKETS, dtype=np.int64)
     for frame in frames:
-        for text, good in zip(frame.text, frame.good):
-            found = bag(text)
-            raw += found
-            target += found * bool(good)
-    yield pd.DataFrame({"bucket": np.arange(BUCKETS), "raw": raw, "target": target})
+        for text in frame.text:
+            found += bag(text)
+    yield pd.DataFrame({"bucket": np.arange(BUCKETS), "n": found})
+
+
+def counted(texts: DataFrame, name: str) -> DataFrame:
+    """Counts of the hashed grams of all texts: (bucket, name)."""
+    parts = texts.select("text").mapInPandas(_counts, "bucket int, n long")
+    return parts.groupBy("bucket").agg(F.sum("n").alias(name))
+
+
+def rows_of(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows whose doc_id is among ``ids``. A bit filter lets few other texts into the shuffle.
+
+    Blocks of 2^15 bits, one for each value of the upper bits of a hash, are broadcast.
+    """
+    spot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS))
+    blocks = ids.select(F.shiftright(spot, 15).alias("_block"), F.pmod(spot, F.lit(1 << 15)).alias("_at")).groupBy("_block").agg(
+        F.bitmap_construct_agg("_at").alias("_bits"))
+    at = F.pmod(spot, F.lit(1 << 15))
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    likely = rows.withColumn("_block", F.shiftright(spot, 15)).join(F.broadcast(blocks), "_block").where(
+        F.getbit(byte, F.pmod(at, F.lit(8)).cast("int")) == 1)
+    return likely.select(rows.columns).join(ids, "doc_id", "left_semi")
 
 
 def resampled(docs: DataFrame, labels: DataFrame, share: float = SHARE, seed: int = 23) -> DataFrame:
     """doc_id, log_ratio, key and kept of every row of ``docs`` (doc_id, text).
 
     Two generative models count hashed words and word pairs of all documents, and of those
-    labelled with quality 1. The log ratio of a text plus Gumbel noise from a hash of its id
-    is its key; the ``share`` of rows with the largest keys is kept, which is a sample without
-    replacement by importance. Null and empty texts have ratio 0; a null id has noise of its
-    own. Without labels of quality 1 the target model is uniform. Rows that repeat tie and
-    are kept or left together.
+    labelled with quality 1. ``log_ratio`` is that of the whole text. A text weighs as much
+    as PIECE of its grams on average, so that long texts are not beyond all noise; this
+    weight plus Gumbel noise from a hash of its id is its key. The ``share`` of rows with the
+    largest keys is kept, which is a sample without replacement by importance. Null and
+    empty texts have ratio 0; a null id has noise of its own. Without labels of quality 1 the
+    target model is uniform. Rows that repeat tie and are kept or left together. An empty
+    table gives no rows; further columns are ignored; texts are read whole.
     """
-    good = labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("doc_id")).distinct().withColumn("good", F.lit(True))
+    good = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    counts = rows.join(good, "doc_id", "left").select("text", F.coalesce("good", F.lit(False)).alias("good")).mapInPandas(
-        _counts, "bucket int, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+    counts = counted(rows, "raw").join(counted(rows_of(rows, good), "target"), "bucket", "left").na.fill(0)
     table = counts.toPandas().sort_values("bucket")  # BUCKETS rows
     raw = table.raw.to_numpy(float) if len(table) else np.zeros(BUCKETS)
     target = table.target.to_numpy(float) if len(table) else np.zeros(BUCKETS)
     ratio = np.log((target + 1) / (target.sum() + BUCKETS)) - np.log((raw + 1) / (raw.sum() + BUCKETS))
 
-    @F.pandas_udf("double")
-    def log_ratio(texts: pd.Series) -> pd.Series:
-        return pd.Series([float(bag(t) @ ratio) for t in texts])
+    @F.pandas_udf("log_ratio double, grams long")
+    def weighed(texts: pd.Series) -> pd.DataFrame:
+        bags = [bag(t) for t in texts]
+        return pd.DataFrame({"log_ratio": [float(b @ ratio) for b in bags], "grams": [int(b.sum()) for b in bags]})
 
     uniform = (F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
-    keyed = stored(rows.select("doc_id", log_ratio("text").alias("log_ratio")).withColumn(
-        "key", F.col("log_ratio") - F.log(-F.log(uniform))), "keys")
+    weight = F.col("w.log_ratio") * F.least(F.lit(1.0), PIECE / F.greatest(F.col("w.grams"), F.lit(1)))
+    keyed = stored(rows.select("doc_id", weighed("text").alias("w")).select(
+        "doc_id", "w.log_ratio", (weight - F.log(-F.log(uniform))).alias("key")), "keys")
     cut = exact_quantile(keyed, "key", 1 - share).first()
     least = cut[0] if cut and cut[0] is not None else 0.0
     return keyed.withColumn("kept", F.col("key") >= least)

@@ -53,7 +53,7 @@ def quality_query(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def license_query(spark: SparkSession, folder: str) -> DataFrame:
-    templates = spark.createDataFrame(list(licenses.STATEMENTS), "license string, text string")
+    templates = spark.createDataFrame([*licenses.STATEMENTS, *licenses.TAGGED], "license string, text string")
     return licenses.scanned(documents(spark, folder), templates)
 
 
