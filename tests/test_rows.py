@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bondscope.operators import lots, wide
-from bondscope.operators.joins import spread_join
+from bondscope.operators.joins import frequent_keys, spread_join
 
 DAY = dt.date(2024, 1, 1)
 
@@ -102,10 +102,38 @@ def test_spread_join_with_a_hot_key(spark, repartition):
     many = many.unionByName(many.where("k = 0")).repartition(repartition)  # copies too
     one = spark.range(2_500).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
     plain = many.join(one, "k").orderBy("k", "v").collect()
-    spread = spread_join(many, one, ["k"], hot_share=0.1, hot_rows=10, ways=4)
+    spread = spread_join(many, one, ["k"], hot_share=0.1, hot_rows=10)
     assert spread.orderBy("k", "v").collect() == plain
 
 
+def test_hot_keys_come_from_a_summary(spark):
+    # 1 / 150 of the rows, in copies, beside 60,000 keys of one row each; and keys of two columns and types.
+    rows = spark.range(60_000).select(F.col("id").alias("k")).unionByName(
+        spark.range(400).select(F.lit(-1).cast("long").alias("k")))
+    rows = rows.select("k", F.col("k").cast("string").alias("t"), F.when(F.col("k") % 2 == 0, F.col("k")).alias("half"))
+    one, two, none, nulls = frequent_keys(rows, [["k"], ["t", "k"], ["half", "t"], ["half"]], share=0.001, least=100)
+    assert [tuple(r) for r in one.collect()] == [(-1, 4)]  # 400 rows, at most 100 to a way
+    assert [tuple(r) for r in two.collect()] == [("-1", -1, 4)]
+    assert none is None and nulls is None
+
+
+def test_join_without_hot_keys_is_a_plain_join(spark, capsys):
+    many, one = spark.range(1_000).withColumn("v", F.lit(1)), spark.range(10).withColumn("w", F.lit(2))
+    spread_join(many, one, ["id"]).explain()
+    plan = capsys.readouterr().out
+    assert "Generate" not in plan and "Aggregate" not in plan
+
+
+def test_left_spread_join_keeps_unmatched_and_null_keys(spark):
+    many = spark.range(3_000).select(
+        F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 3 == 1, F.col("id")).alias("k"), F.col("id").alias("v"))
+    one = spark.range(5, 2_500).select(F.col("id").cast("int").alias("k"), (F.col("id") * 2).alias("w"))
+    plain = many.join(one, "k", "left").select("k", "v", "w").orderBy("v").collect()
+    for rows in (10, 10_000):
+        spread = spread_join(many, one, ["k"], hot_share=0.1, hot_rows=rows, how="left")
+        assert spread.select("k", "v", "w").orderBy("v").collect() == plain
+
+
 def test_truth_repeats_with_the_motion_key(spark):
     qa = spark.createDataFrame([("u", "x", 1.0), ("w", "x", 2.0)], "mapping_uid string, measure_item string, value double")
     motion = spark.createDataFrame([("u",), ("u",), ("v",)], "mapping_uid string")
