@@ -188,3 +188,18 @@ def test_many_categories_train_and_score(spark):
     table = category_table(df, ["text"], ["y"])
     met = with_statistics(unseen, table, ["text"], ["y"], {"y": 0.25}).orderBy("id").collect()
     assert met[0]["text__y"] == 0.25 and met[1]["text__y"] == pytest.approx(0.05)
+
+
+def test_exponentials_are_computed_once_for_each_output(spark):
+    """Seven classes: seven exponentials a row, not every one again for every output."""
+    target = boosting.Target("kind", tuple(range(7)), (0.0,) * 7)
+    scores = [[0.1 * k * (i + 1) for k in range(7)] for i in range(4)]
+    wide = spark.createDataFrame(
+        [([i], i, *s) for i, s in enumerate(scores)], "_bins array<int>, _y0 int, " + ", ".join(f"_s{k} double" for k in range(7)))
+    found = boosting._with_gradients(wide, [target], {0: 1e9})
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("EXP(") == 7
+    p = np.exp(scores) / np.exp(scores).sum(1, keepdims=True)
+    for row in found.collect():
+        i = row["_bins"][0]
+        assert np.allclose([row[f"_g{k}"] for k in range(7)], 1e9 * ((np.arange(7) == i) - p[i]), atol=1)
+        assert np.allclose([row[f"_h{k}"] for k in range(7)], 1e9 * p[i] * (1 - p[i]), atol=1)
