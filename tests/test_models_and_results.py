@@ -210,3 +210,15 @@ def test_drift_workflow(spark):
 def test_shared_folder_comes_from_the_session(spark):
     assert fresh_path(spark, "x").startswith(shared_folder(spark))
     assert fresh_path(spark, "x") != fresh_path(spark, "x")
+
+
+def test_rows_of_a_boosting_task_are_bounded(spark, monkeypatch):
+    """One large task is dealt out, equal rows too; the rows are the same. A small one stays."""
+    monkeypatch.setattr(models, "ROWS_PER_TASK", 100)
+    data = spark.range(0, 1000, 1, 1).selectExpr("id % 2 AS a", "id * 0.5D AS b")
+    found = models.spread(data)
+    sizes = [len(part) for part in found.rdd.glom().collect()]
+    assert len(sizes) == 10 and max(sizes) <= 110
+    assert sorted(found.collect()) == sorted(data.collect())
+    small = spark.range(0, 100, 1, 1)
+    assert models.spread(small) is small
