@@ -17,14 +17,10 @@ BASE = 1.001
 CELL = 3
 BANDS = 32
 REGISTERS = BANDS * 2 * CELL
-#: Registers that travel with a candidate pair, for the likelihood estimate.
-COMPARED = 64
-DOUBTFUL = 0.5
-GRID = 51
-#: Parts of a bucket with more texts are split by further cells, SPLITS times over, in LEVELS rounds at most.
+#: Least hashes that more texts share, and that are not of one component, go to the end of the order.
 PART = 64
-SPLITS = 3
-LEVELS = 3
+#: Such hashes at most (1.6 MB): which ones are taken changes the work, not the links.
+LATE = 200_000
 
 ODD = np.random.default_rng(5).integers(1, 2**32, REGISTERS, dtype=np.uint32) | np.uint32(1)
 PLACE = np.random.default_rng(6).integers(1, 2**63, SHINGLE, dtype=np.uint64) | np.uint64(1)
@@ -67,20 +63,17 @@ def registers(hashes: np.ndarray) -> np.ndarray:
     return np.floor(1 - np.log(exponential) / np.log(BASE)).astype(np.int32)
 
 
-def estimate(greater: np.ndarray, less: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
-    """Likeliest Jaccard similarity of pairs, from the registers of a above and below those of b."""
-    u, v = n_a / (n_a + n_b), n_b / (n_a + n_b)
-    most = np.minimum(u / v, v / u)
-    grid = np.linspace(0, 1, GRID)[None, :] * most[:, None]
+def least_hashes(hashes: np.ndarray, late: np.ndarray | None = None) -> np.ndarray:
+    """The first hashes of a set, in an order that is the same for all sets: ``late`` ones last.
 
-    def chance(x: np.ndarray) -> np.ndarray:
-        return -np.log1p(-np.clip(x, 0, 1) * (BASE - 1) / BASE) / np.log(BASE)
-
-    above, below = chance(u[:, None] - v[:, None] * grid), chance(v[:, None] - u[:, None] * grid)
-    equal = COMPARED - greater - less
-    log = lambda p: np.log(np.maximum(p, 1e-12))
-    likelihood = greater[:, None] * log(above) + less[:, None] * log(below) + equal[:, None] * log(1 - above - below)
-    return grid[np.arange(len(grid)), likelihood.argmax(axis=1)]
+    Of n hashes at least 75% are in any similar set, so one of the first n - ceil(0.75 n) + 1 is;
+    the first common hash of two similar sets is among these in both.
+    """
+    first = len(hashes) + (-THRESHOLD * len(hashes) // 100) + 1
+    if late is None:
+        return hashes[:first]
+    behind = np.isin(hashes, late)
+    return np.concatenate([hashes[~behind][:first], hashes[behind]])[:first]
 
 
 def _sketch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -95,21 +88,36 @@ def _sketch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if len(hashes):
                     found = registers(hashes)
                     cells = [xxhash.xxh3_64_intdigest(found[i:i + CELL].tobytes()) - 2**63 for i in range(0, REGISTERS, CELL)]
-                    out.append((doc_id, len(hashes), same, found[:COMPARED].tobytes(), cells))
+                    out.append((doc_id, len(hashes), same, least_hashes(hashes).view(np.int64), cells))
                 else:
                     out.append((doc_id, 0, same, None, None))
-            yield pd.DataFrame(out, columns=["doc_id", "n_shingles", "same", "sketch", "cells"])
+            yield pd.DataFrame(out, columns=["doc_id", "n_shingles", "same", "least", "cells"])
 
 
-def _likely(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _possible(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Pairs that the least hashes of both leave possible: a bound, so no similar pair is lost."""
     for frame in frames:
-        for at in range(0, len(frame), 5000):
-            part = frame.iloc[at:at + 5000]
-            if len(part):
-                a = np.frombuffer(b"".join(part.sketch_a), dtype=np.int32).reshape(len(part), -1)
-                b = np.frombuffer(b"".join(part.sketch_b), dtype=np.int32).reshape(len(part), -1)
-                found = estimate((a > b).sum(1), (a < b).sum(1), part.n_a.to_numpy(float), part.n_b.to_numpy(float))
-                yield part.loc[found >= DOUBTFUL, ["a", "b"]]
+        keep = []
+        for n_a, n_b, least_a, least_b in zip(frame.n_a, frame.n_b, frame.least_a, frame.least_b):
+            a, b = (np.asarray(x, dtype=np.int64).view(np.uint64) for x in (least_a, least_b))
+            # Up to this hash both sets are known in full.
+            end = min(a[-1], b[-1])
+            a, b = a[:np.searchsorted(a, end, side="right")], b[:np.searchsorted(b, end, side="right")]
+            most = len(np.intersect1d(a, b, assume_unique=True)) + min(n_a - len(a), n_b - len(b))
+            keep.append(100 * most >= THRESHOLD * (n_a + n_b - most))
+        yield frame.loc[keep, ["a", "b"]]
+
+
+def _later(late: np.ndarray):
+    """Least hashes of whole texts where ``late`` ones come last."""
+
+    def found(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict[bytes, int] = {}
+        for frame in frames:
+            least = [least_hashes(shingles(words(t), known), late).view(np.int64) for t in frame.text]
+            yield pd.DataFrame({"doc_id": frame.doc_id, "least": least})
+
+    return found
 
 
 def _confirm(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -132,12 +140,12 @@ def _linked(pairs: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFram
     """Of distinct candidate pairs (a, b) those whose full shingle sets are similar enough."""
     pairs = stored(pairs, "pairs")
     hot = hot_keys(pairs.groupBy("b").agg(F.count("*").alias("n")), "b", "n")
-    side = sketches.select("doc_id", "n_shingles", "sketch")
-    first = side.toDF("a", "n_a", "sketch_a")
-    second = side.toDF("b", "n_b", "sketch_b")
+    side = sketches.select("doc_id", "n_shingles", "least")
+    first = side.toDF("a", "n_a", "least_a")
+    second = side.toDF("b", "n_b", "least_b")
     sized = spread_join(pairs.join(first, "a"), second, "b", hot, F.col("a"))
     sized = sized.where(100 * F.least("n_a", "n_b") >= THRESHOLD * F.greatest("n_a", "n_b"))
-    likely = stored(sized.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInPandas(_likely, "a long, b long"), "likely")
+    likely = stored(sized.select("a", "b", "n_a", "n_b", "least_a", "least_b").mapInPandas(_possible, "a long, b long"), "possible")
     hot = hot_keys(likely.groupBy("b").agg(F.count("*").alias("n")), "b", "n")
     needed = texts.join(
         likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "doc_id", "left_semi")
@@ -173,21 +181,39 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
         "doc_id", F.coalesce("root", "doc_id").alias("component_id"))
 
 
+def _inside(parts: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows of the parts that hold several components, with the smallest doc_id ``b`` and the rows ``n`` of the part."""
+    held = parts.join(found, "doc_id")
+    mixed = stored(held.groupBy("part").agg(
+        F.min("doc_id").alias("b"), F.min(F.struct("doc_id", "component_id"))["component_id"].alias("cb"),
+        F.count("*").alias("n"), F.min("component_id").alias("low"), F.max("component_id").alias("high")
+    ).where("low <> high").drop("low", "high"), "mixed")
+    return stored(spread_join(held, mixed, "part", hot_keys(mixed, "part", "n"), F.col("doc_id")), "inside")
+
+
+def _across(inside: DataFrame, found: DataFrame) -> DataFrame:
+    """Distinct pairs of different components that share a part, one of them ``fresh``."""
+    rows = inside.select("part", "doc_id", "fresh").join(found, "doc_id")
+    here = rows.select("part", F.col("doc_id").alias("a"), F.col("component_id").alias("ca"), F.col("fresh").alias("fa"))
+    sizes = inside.select("part", "n").distinct()
+    there = rows.select("part", F.col("doc_id").alias("b"), F.col("component_id").alias("cb"), F.col("fresh").alias("fb"))
+    pairs = spread_join(here, there, "part", hot_keys(sizes, "part", "n"), F.col("a"))
+    return pairs.where("ca > cb AND (fa OR fb)").select("a", "b").distinct()
+
+
 def near_groups(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of ``docs`` (doc_id, text).
 
     Sets of distinct five-word shingles are linked from a Jaccard similarity of 0.75; a text
     with fewer words is one shingle, without words it has none and no links. Equal word
-    sequences are one class, so copies are never paired. In each band bucket all classes are
-    paired with the smallest one. A bucket that then still holds several components is paired
-    across them if it has at most PART classes, so that candidates grow with the classes; a
-    larger one is split by further cells, SPLITS times over, and treated alike. What LEVELS
-    splits leave is paired whatever its size: texts that agree in 15 registers and are still
-    apart. Candidates pass a size bound, the joint likelihood estimate of the registers (below
-    DOUBTFUL they are left, 4.6 standard deviations from 0.75) and the exact test on full sets.
-    A pair of similarity 0.75 that nothing else links is missed with a chance of 0.002, of
-    0.8 with 0.0001; where all parts that hold it are split once, 0.013 and 0.002, and three
-    times, 0.043 and 0.004 (simulated).
+    sequences are one class, so copies are never paired. In each band bucket of the registers
+    all classes are compared with the smallest one, which joins most similar texts. The rest
+    is exact: two similar sets share one of their least hashes (``least_hashes``), so all pairs
+    that share one and are not yet of one component are candidates, first each text with the
+    smallest one beside it. Hashes that more than PART texts of several components share, such
+    as those of a common passage, go to the end of the order for all texts, and those they
+    concern are compared by what then comes first. Candidates pass a size bound, a bound on the
+    intersection by their least hashes, and the exact test on full sets; no link is lost.
 
     Rows that repeat a doc_id with other texts count as one node of the graph. A null doc_id
     has a null component_id and stays. Further columns are ignored; no rows give no rows.
@@ -195,48 +221,47 @@ def near_groups(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     # Ids travel as text: numbers beside nulls would pass through doubles.
     sketches = texts.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(
-        _sketch, "doc_id string, n_shingles long, same binary, sketch binary, cells array<long>")
+        _sketch, "doc_id string, n_shingles long, same binary, least array<long>, cells array<long>")
     sketches = stored(sketches.withColumn("doc_id", F.col("doc_id").cast("long")), "sketches")
     known = sketches.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = stored(known.groupBy("same").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "classes")
     reps = stored(known.join(classes.select("same", F.col("rep").alias("doc_id")), ["same", "doc_id"], "left_semi")
                   .dropDuplicates(["same", "doc_id"]), "reps")
-    # A band is shared by texts of similarity 0.75 with chance 0.75^6: none of 32 with chance 0.002.
-    band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.get("cells", 2 * i), F.get("cells", 2 * i + 1)))
     found = reps.select("doc_id", F.col("doc_id").alias("component_id")).distinct()
     links = None
-    parts = reps.select("doc_id", F.explode(band).alias("part"))
-    for level in range(LEVELS + 1):
-        # Parts that hold several components, and the link of each of their texts to the smallest one.
-        parts = stored(parts, "parts")
-        held = parts.join(found, "doc_id")
-        mixed = stored(held.groupBy("part").agg(
-            F.min("doc_id").alias("b"), F.min(F.struct("doc_id", "component_id"))["component_id"].alias("cb"),
-            F.count("*").alias("n"), F.min("component_id").alias("low"), F.max("component_id").alias("high")
-        ).where("low <> high").drop("low", "high"), "mixed")
-        if mixed.isEmpty():
-            break
-        inside = stored(spread_join(held, mixed, "part", hot_keys(mixed, "part", "n"), F.col("doc_id")), "inside")
-        star = inside.where("component_id <> cb").select(F.col("doc_id").alias("a"), "b").distinct()
-        new = _linked(star, reps, texts)
+
+    def joined(pairs: DataFrame) -> None:
+        nonlocal links, found
+        new = _linked(pairs, reps, texts)
+        if links is not None and new.isEmpty():
+            return
         links = new if links is None else stored(links.union(new), "all-links")
         found = stored(components(reps, links), "components")
-        # What small parts still hold apart is compared; larger parts are split by further cells.
-        left = inside.select("part", "doc_id", "b", "n").join(found, "doc_id")
-        few = left if level == LEVELS else left.where(F.col("n") <= PART)
-        here = few.select("part", F.col("doc_id").alias("a"), F.col("component_id").alias("ca"), F.col("b").alias("centre"))
-        there = few.select("part", F.col("doc_id").alias("b"), F.col("component_id").alias("cb"))
-        across = here.join(there, "part").where("ca > cb AND a <> centre AND b <> centre").select("a", "b").distinct()
-        new = _linked(across, reps, texts)
-        if not new.isEmpty():
-            links = stored(links.union(new), "all-links")
-            found = stored(components(reps, links), "components")
-        if level == LEVELS:
-            break
-        many = inside.where(F.col("n") > PART).select("part", "doc_id").join(reps.select("doc_id", "cells"), "doc_id")
-        cell = lambda s: F.pmod(F.xxhash64("part", s), F.lit(2 * BANDS)).cast("int")
-        parts = many.select("doc_id", F.explode(F.array_distinct(F.transform(
-            F.sequence(F.lit(0), F.lit(SPLITS - 1)), lambda s: F.xxhash64("part", cell(s), F.get("cells", cell(s)))))).alias("part"))
+
+    def starred(inside: DataFrame) -> DataFrame:
+        """Each text with the smallest one beside it."""
+        return inside.where("component_id <> cb").groupBy(F.col("doc_id").alias("a")).agg(F.min("b").alias("b"))
+
+    band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.get("cells", 2 * i), F.get("cells", 2 * i + 1)))
+    joined(starred(_inside(reps.select("doc_id", F.explode(band).alias("part")), found)))
+    least = reps.select("doc_id", F.explode("least").alias("part"), F.lit(True).alias("fresh"))
+    joined(starred(_inside(least, found)))
+    inside = _inside(least, found)
+    late = inside.where(F.col("n") > PART).select("part", "n").distinct().orderBy(F.desc("n"), "part").limit(LATE)
+    late = stored(late, "late")
+    joined(_across(inside.join(F.broadcast(late.select("part")), "part", "left_anti"), found))
+    if not late.isEmpty():
+        behind = np.array([r.part for r in late.select("part").collect()], dtype=np.int64).view(np.uint64)  # LATE at most
+        touched = inside.join(F.broadcast(late.select("part")), "part", "left_semi").select("doc_id").distinct()
+        touched = stored(touched, "touched")
+        again = texts.join(touched, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        again = stored(again.mapInPandas(_later(behind), "doc_id long, least array<long>"), "later")
+        fresh = again.select("doc_id", F.explode("least").alias("part"), F.lit(True).alias("fresh"))
+        others = least.select("doc_id", "part", F.lit(False).alias("fresh")).join(touched, "doc_id", "left_anti").join(
+            fresh.select("part").distinct(), "part", "left_semi").select("doc_id", "part", "fresh")
+        parts = stored(fresh.union(others), "parts")
+        joined(starred(_inside(parts, found)))
+        joined(_across(_inside(parts, found), found))
     # All rows of a class share the component of its first row; ids repeated with other texts join classes.
     member = classes.join(found, classes.rep == found.doc_id).select("same", "component_id", "n")
     hot = hot_keys(classes, "same", "n")

@@ -69,3 +69,19 @@ def test_repeated_ids_do_not_multiply(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     found = sorted((r.doc_id or 0, r.component_id or 0) for r in near_dedup.near_groups(docs).collect())
     assert found == [(0, 0), (1, 1), (1, 1), (2, 1), (2, 1), (3, 1), (4, 4), (5, 5)]
+
+
+def test_links_do_not_depend_on_bands(spark, monkeypatch):
+    """Pairs at the threshold are found by their least hashes where no band is shared; common passages too."""
+    monkeypatch.setattr(near_dedup, "PART", 8)
+    monkeypatch.setattr(near_dedup, "registers", lambda hashes: near_dedup.np.arange(near_dedup.REGISTERS, dtype="int32") + int(hashes[0] % 2**20))
+    rng = random.Random(8)
+    common = " ".join(f"c{i}" for i in range(60))
+    rows = []
+    for i in range(0, 120, 2):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(100)]
+        rows.append((i, " ".join(base) + " " + common))
+        rows.append((i + 1, changed(rng, base, 1 + i // 2 % 7) + " " + common))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_groups(docs).collect()}
+    assert found == brute(rows)
