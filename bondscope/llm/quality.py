@@ -1,6 +1,6 @@
 """Quality selection by importance resampling of hashed n-grams."""
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -27,6 +27,12 @@ def bag(text: str | None) -> np.ndarray:
     return np.bincount([xxhash.xxh3_64_intdigest(g) % BUCKETS for g in grams] if grams else [0] * 0, minlength=BUCKETS)
 
 
+def weights(texts: Iterable[str | None], ratio: np.ndarray) -> pd.DataFrame:
+    """log_ratio and grams of each text, one bag at a time: those of a batch take BUCKETS longs a text."""
+    found = [(float(b @ ratio), int(b.sum())) for b in map(bag, texts)]
+    return pd.DataFrame(found, columns=["log_ratio", "grams"])
+
+
 def _counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     found = np.zeros(BUCKETS, dtype=np.int64)
     for frame in frames:
@@ -78,8 +84,7 @@ def resampled(docs: DataFrame, labels: DataFrame, share: float = SHARE, seed: in
 
     @F.pandas_udf("log_ratio double, grams long")
     def weighed(texts: pd.Series) -> pd.DataFrame:
-        bags = [bag(t) for t in texts]
-        return pd.DataFrame({"log_ratio": [float(b @ ratio) for b in bags], "grams": [int(b.sum()) for b in bags]})
+        return weights(texts, ratio)
 
     uniform = (F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
     weight = F.col("w.log_ratio") * F.least(F.lit(1.0), PIECE / F.greatest(F.col("w.grams"), F.lit(1)))

@@ -3,7 +3,9 @@
 import math
 import random
 import re
+import tracemalloc
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from bondscope.llm import licenses, quality
@@ -69,3 +71,16 @@ def test_resampling_follows_the_ratio_and_the_seed(spark):
     every = docs.select("doc_id", F.lit(1).alias("quality"))
     first, second = ({r.doc_id for r in quality.resampled(docs, every, seed=n).where("kept").collect()} for n in (1, 2))
     assert len(first - second) > 50
+
+
+def test_memory_of_weights_does_not_grow_with_the_batch():
+    """1000 bags at once would take 80 MB."""
+    texts = [f"some words {i}" for i in range(1000)] + [None]
+    ratio = np.linspace(-1, 1, quality.BUCKETS)
+    tracemalloc.start()
+    found = quality.weights(texts, ratio)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 10_000_000
+    assert list(found.grams) == [int(quality.bag(t).sum()) for t in texts]
+    assert np.allclose(found.log_ratio, [quality.bag(t) @ ratio for t in texts])
