@@ -7,6 +7,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from bondscope.llm.common import hot_keys, spread_join, stored
 
@@ -244,7 +245,9 @@ def near_groups(docs: DataFrame) -> DataFrame:
 
     band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.get("cells", 2 * i), F.get("cells", 2 * i + 1)))
     joined(starred(_inside(reps.select("doc_id", F.explode(band).alias("part")), found)))
-    least = reps.select("doc_id", F.explode("least").alias("part"), F.lit(True).alias("fresh"))
+    # Most hashes are of one text alone: they move once.
+    least = reps.select("doc_id", F.explode("least").alias("part")).withColumn("n", F.count("*").over(Window.partitionBy("part")))
+    least = stored(least.where("n > 1").select("doc_id", "part", F.lit(True).alias("fresh")), "shared")
     joined(starred(_inside(least, found)))
     inside = _inside(least, found)
     late = inside.where(F.col("n") > PART).select("part", "n").distinct().orderBy(F.desc("n"), "part").limit(LATE)
@@ -257,7 +260,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
         again = texts.join(touched, "doc_id", "left_semi").dropDuplicates(["doc_id"])
         again = stored(again.mapInPandas(_later(behind), "doc_id long, least array<long>"), "later")
         fresh = again.select("doc_id", F.explode("least").alias("part"), F.lit(True).alias("fresh"))
-        others = least.select("doc_id", "part", F.lit(False).alias("fresh")).join(touched, "doc_id", "left_anti").join(
+        others = reps.select("doc_id", F.explode("least").alias("part"), F.lit(False).alias("fresh")).join(touched, "doc_id", "left_anti").join(
             fresh.select("part").distinct(), "part", "left_semi").select("doc_id", "part", "fresh")
         parts = stored(fresh.union(others), "parts")
         joined(starred(_inside(parts, found)))
