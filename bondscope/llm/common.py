@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from bondscope.storage import fresh_path
 
 SPACES = r"[\x20\x09-\x0D]+"
+#: Bits of the filter on ids: at most 2^FILTER_BITS / 8 bytes (16 MB) are broadcast, whatever the ids.
+FILTER_BITS = 27
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -52,3 +54,19 @@ def spread_join(left: DataFrame, right: DataFrame, key: str, hot: DataFrame, by:
     left = left.join(hot, key, "left").withColumn("_salt", F.pmod(F.xxhash64(by), ways).cast("int")).drop("_ways")
     right = right.join(hot, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), ways - 1))).drop("_ways")
     return left.join(right, [key, "_salt"], how).drop("_salt")
+
+
+def rows_of(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows whose doc_id is among the distinct ``ids``. A bit filter lets few other texts into the shuffle.
+
+    Blocks of 2^15 bits, one for each value of the upper bits of a hash, are broadcast. The ids
+    meet the rows in an inner join: a semi join would be moved below the filter.
+    """
+    spot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS))
+    blocks = ids.select(F.shiftright(spot, 15).alias("_block"), F.pmod(spot, F.lit(1 << 15)).alias("_at")).groupBy("_block").agg(
+        F.bitmap_construct_agg("_at").alias("_bits"))
+    at = F.pmod(spot, F.lit(1 << 15))
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    likely = rows.withColumn("_block", F.shiftright(spot, 15)).join(F.broadcast(blocks), "_block").where(
+        F.getbit(byte, F.pmod(at, F.lit(8)).cast("int")) == 1)
+    return likely.select(rows.columns).join(ids.select("doc_id").distinct(), "doc_id").select(rows.columns)

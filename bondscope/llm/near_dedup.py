@@ -9,16 +9,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from bondscope.llm.common import hot_keys, spread_join, stored
+from bondscope.llm.common import hot_keys, rows_of, spread_join, stored
+from bondscope.storage import handed_over, removed
 
 SHINGLE = 5
 THRESHOLD = 75
 BASE = 1.001
-#: A cell is CELL registers; a band is two cells.
-CELL = 3
-BANDS = 32
-REGISTERS = BANDS * 2 * CELL
-#: Least hashes that more texts share, and that are not of one component, go to the end of the order.
+#: A band is BAND registers. Bands join most similar texts early; the exact search finds the rest.
+BAND = 6
+BANDS = 16
+REGISTERS = BANDS * BAND
+#: Hashes that more texts share, by a draw of two in PART texts, go to the end of the order.
 PART = 64
 #: Such hashes at most (1.6 MB): which ones are taken changes the work, not the links.
 LATE = 200_000
@@ -65,95 +66,138 @@ def registers(hashes: np.ndarray) -> np.ndarray:
 
 
 def least_hashes(hashes: np.ndarray, late: np.ndarray | None = None) -> np.ndarray:
-    """The first hashes of a set, in an order that is the same for all sets: ``late`` ones last.
+    """The first hashes of a set, in an order that is the same for all sets: ``late`` ones (sorted) last.
 
     Of n hashes at least 75% are in any similar set, so one of the first n - ceil(0.75 n) + 1 is;
     the first common hash of two similar sets is among these in both.
     """
     first = len(hashes) + (-THRESHOLD * len(hashes) // 100) + 1
-    if late is None:
+    if late is None or not len(late):
         return hashes[:first]
-    behind = np.isin(hashes, late)
+    behind = is_late(hashes, late)
     return np.concatenate([hashes[~behind][:first], hashes[behind]])[:first]
 
 
-def _sketch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    known: dict[bytes, int] = {}
-    for frame in frames:
-        for at in range(0, len(frame), 500):
-            part, out = frame.iloc[at:at + 500], []
-            for doc_id, text in zip(part.doc_id, part.text):
-                tokens = words(text)
-                hashes = shingles(tokens, known)
-                same = xxhash.xxh3_128_digest(b" ".join(tokens))
-                if len(hashes):
-                    found = registers(hashes)
-                    cells = [xxhash.xxh3_64_intdigest(found[i:i + CELL].tobytes()) - 2**63 for i in range(0, REGISTERS, CELL)]
-                    out.append((doc_id, len(hashes), same, least_hashes(hashes).view(np.int64), cells))
-                else:
-                    out.append((doc_id, 0, same, None, None))
-            yield pd.DataFrame(out, columns=["doc_id", "n_shingles", "same", "least", "cells"])
-
-
-def _possible(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pairs that the least hashes of both leave possible: a bound, so no similar pair is lost."""
-    for frame in frames:
-        keep = []
-        for n_a, n_b, least_a, least_b in zip(frame.n_a, frame.n_b, frame.least_a, frame.least_b):
-            a, b = (np.asarray(x, dtype=np.int64).view(np.uint64) for x in (least_a, least_b))
-            # Up to this hash both sets are known in full.
-            end = min(a[-1], b[-1])
-            a, b = a[:np.searchsorted(a, end, side="right")], b[:np.searchsorted(b, end, side="right")]
-            most = len(np.intersect1d(a, b, assume_unique=True)) + min(n_a - len(a), n_b - len(b))
-            keep.append(100 * most >= THRESHOLD * (n_a + n_b - most))
-        yield frame.loc[keep, ["a", "b"]]
+def is_late(hashes: np.ndarray, late: np.ndarray) -> np.ndarray:
+    """Which hashes are among the sorted ``late`` ones."""
+    if not len(late):
+        return np.zeros(len(hashes), dtype=bool)
+    return late[np.minimum(np.searchsorted(late, hashes), len(late) - 1)] == hashes
+
+
+def parity(hashes: np.ndarray) -> np.ndarray:
+    """Parities of the numbers of hashes in 2 to 4 buckets a hash: a power of two, at most 2^17.
+
+    Two sets of different parity in a bucket differ in a hash of it. The first half of the
+    buckets xor the second half are the parities of half as many buckets.
+    """
+    size = min(1 << 17, max(64, 1 << (2 * len(hashes)).bit_length()))
+    spot = (hashes >> np.uint64(16)) & np.uint64(size - 1)
+    return np.packbits((np.bincount(spot.astype(np.int64), minlength=size) & 1).astype(np.uint8))
+
 
+def most_common(n_a: int, n_b: int, odd_a: bytes, odd_b: bytes) -> int:
+    """Hashes that two sets can share at most, by their sizes and parities."""
+    a, b = np.frombuffer(odd_a, dtype=np.uint8), np.frombuffer(odd_b, dtype=np.uint8)
+    while len(a) > len(b):
+        a = a[:len(a) // 2] ^ a[len(a) // 2:]
+    while len(b) > len(a):
+        b = b[:len(b) // 2] ^ b[len(b) // 2:]
+    return (n_a + n_b - int(np.bitwise_count(a ^ b).sum())) // 2
 
-def _later(late: np.ndarray):
-    """Least hashes of whole texts where ``late`` ones come last."""
+
+def _sketch(late: np.ndarray):
+    """Sizes, digests, first hashes (``rare`` of them not late), bands and parities of whole texts."""
 
     def found(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[bytes, int] = {}
         for frame in frames:
-            least = [least_hashes(shingles(words(t), known), late).view(np.int64) for t in frame.text]
-            yield pd.DataFrame({"doc_id": frame.doc_id, "least": least})
+            for at in range(0, len(frame), 500):
+                part, out = frame.iloc[at:at + 500], []
+                for doc_id, text in zip(part.doc_id, part.text):
+                    tokens = words(text)
+                    hashes = shingles(tokens, known)
+                    same = xxhash.xxh3_128_digest(b" ".join(tokens))
+                    if len(hashes):
+                        least = least_hashes(hashes, late)
+                        rare = int((~is_late(least, late)).sum())
+                        sketch = registers(hashes)
+                        bands = [xxhash.xxh3_64_intdigest(sketch[i:i + BAND].tobytes(), seed=i) - 2**63 for i in range(0, REGISTERS, BAND)]
+                        out.append((doc_id, len(hashes), same, rare, least.view(np.int64), bands, parity(hashes).tobytes()))
+                    else:
+                        out.append((doc_id, 0, same, 0, None, None, None))
+                yield pd.DataFrame(out, columns=["doc_id", "n_shingles", "same", "rare", "least", "bands", "parity"])
 
     return found
 
 
+def _hashes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    known: dict[bytes, int] = {}
+    for frame in frames:
+        for at in range(0, len(frame), 100):
+            found = [shingles(words(text), known) for text in frame.text[at:at + 100]]
+            yield pd.DataFrame({"part": np.concatenate(found).view(np.int64)})
+
+
+def late_hashes(texts: DataFrame) -> np.ndarray:
+    """Hashes that two of the drawn texts share, the most frequent ones, LATE at most; sorted.
+
+    They go to the end of the order. The draw decides how much is compared, not what is found.
+    """
+    drawn = texts.where(F.pmod(F.xxhash64("text"), F.lit(max(1, PART // 2))) == 0).select("text").distinct()
+    held = drawn.mapInPandas(_hashes, "part long").groupBy("part").agg(F.count("*").alias("n")).where("n > 1")
+    held = stored(held, "frequent")
+    least, total = None, 0
+    for row in sorted(held.groupBy("n").agg(F.count("*").alias("m")).collect(), reverse=True):
+        total += row.m
+        if total > LATE:
+            break
+        least = row.n
+    if least is None:
+        return np.empty(0, dtype=np.uint64)
+    found = [r.part for r in held.where(F.col("n") >= least).select("part").collect()]  # LATE at most
+    return np.sort(np.array(found, dtype=np.int64).view(np.uint64))
+
+
+def _close(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Pairs that the parities of both leave possible: a bound, so no similar pair is lost."""
+    for frame in frames:
+        most = [most_common(*row) for row in zip(frame.n_a, frame.n_b, frame.odd_a, frame.odd_b)]
+        total = frame.n_a + frame.n_b
+        yield frame.loc[(100 + THRESHOLD) * np.array(most, dtype=np.int64) >= THRESHOLD * total, ["a", "b"]]
+
+
 def _confirm(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     known: dict[bytes, int] = {}
     for frame in frames:
         keep, last = [], {}
-        for a, b, text_a, text_b in zip(frame.a, frame.b, frame.text_a, frame.text_b):
+        for text_a, text_b in zip(frame.text_a, frame.text_b):
             if len(last) > 64:
                 last.clear()
-            for key, text in ((a, text_a), (b, text_b)):
-                if key not in last:
-                    last[key] = shingles(words(text), known)
-            left, right = last[a], last[b]
+            for text in (text_a, text_b):
+                if text not in last:
+                    last[text] = shingles(words(text), known)
+            left, right = last[text_a], last[text_b]
             both = len(np.intersect1d(left, right, assume_unique=True))
             keep.append(100 * both >= THRESHOLD * (len(left) + len(right) - both))
         yield frame.loc[keep, ["a", "b"]]
 
 
-def _linked(pairs: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame:
+def _linked(pairs: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
     """Of distinct candidate pairs (a, b) those whose full shingle sets are similar enough."""
     pairs = stored(pairs, "pairs")
     hot = hot_keys(pairs.groupBy("b").agg(F.count("*").alias("n")), "b", "n")
-    side = sketches.select("doc_id", "n_shingles", "least")
-    first = side.toDF("a", "n_a", "least_a")
-    second = side.toDF("b", "n_b", "least_b")
-    sized = spread_join(pairs.join(first, "a"), second, "b", hot, F.col("a"))
+    side = reps.select("doc_id", "n_shingles", "parity")
+    sized = spread_join(pairs.join(side.toDF("a", "n_a", "odd_a"), "a"), side.toDF("b", "n_b", "odd_b"), "b", hot, F.col("a"))
     sized = sized.where(100 * F.least("n_a", "n_b") >= THRESHOLD * F.greatest("n_a", "n_b"))
-    likely = stored(sized.select("a", "b", "n_a", "n_b", "least_a", "least_b").mapInPandas(_possible, "a long, b long"), "possible")
+    likely = sized.select("a", "b", "n_a", "n_b", "odd_a", "odd_b").mapInPandas(_close, "a long, b long")
+    likely = stored(likely.distinct(), "possible")
     hot = hot_keys(likely.groupBy("b").agg(F.count("*").alias("n")), "b", "n")
-    needed = texts.join(
-        likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "doc_id", "left_semi")
-    needed = needed.dropDuplicates(["doc_id"])
+    ids = stored(likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
+    needed = stored(rows_of(texts, ids).distinct(), "texts")
     full = spread_join(
         likely.join(needed.toDF("a", "text_a"), "a"), needed.toDF("b", "text_b"), "b", hot, F.col("a"))
-    return stored(full.select("a", "b", "text_a", "text_b").mapInPandas(_confirm, "a long, b long"), "links")
+    return stored(full.select("a", "b", "text_a", "text_b").mapInPandas(_confirm, "a long, b long").distinct(), "links")
 
 
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -182,9 +226,11 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
         "doc_id", F.coalesce("root", "doc_id").alias("component_id"))
 
 
-def _inside(parts: DataFrame, found: DataFrame) -> DataFrame:
-    """Rows of the parts that hold several components, with the smallest doc_id ``b`` and the rows ``n`` of the part."""
-    held = parts.join(found, "doc_id")
+def _inside(held: DataFrame) -> DataFrame:
+    """Rows of the parts that hold several components.
+
+    Each with the smallest doc_id ``b`` of the part, its component ``cb`` and the rows ``n`` of the part.
+    """
     mixed = stored(held.groupBy("part").agg(
         F.min("doc_id").alias("b"), F.min(F.struct("doc_id", "component_id"))["component_id"].alias("cb"),
         F.count("*").alias("n"), F.min("component_id").alias("low"), F.max("component_id").alias("high")
@@ -192,14 +238,28 @@ def _inside(parts: DataFrame, found: DataFrame) -> DataFrame:
     return stored(spread_join(held, mixed, "part", hot_keys(mixed, "part", "n"), F.col("doc_id")), "inside")
 
 
-def _across(inside: DataFrame, found: DataFrame) -> DataFrame:
-    """Distinct pairs of different components that share a part, one of them ``fresh``."""
-    rows = inside.select("part", "doc_id", "fresh").join(found, "doc_id")
-    here = rows.select("part", F.col("doc_id").alias("a"), F.col("component_id").alias("ca"), F.col("fresh").alias("fa"))
-    sizes = inside.select("part", "n").distinct()
-    there = rows.select("part", F.col("doc_id").alias("b"), F.col("component_id").alias("cb"), F.col("fresh").alias("fb"))
-    pairs = spread_join(here, there, "part", hot_keys(sizes, "part", "n"), F.col("a"))
-    return pairs.where("ca > cb AND (fa OR fb)").select("a", "b").distinct()
+def _across(inside: DataFrame) -> DataFrame:
+    """Distinct pairs of different components that the places of their shared hashes leave possible.
+
+    A part's rows outside the component of its smallest doc_id meet all of its rows. Two sets share the ``k``
+    hashes that both have among their first ones, and others only after the last of these and
+    after the end of the first hashes of one of them: a bound, so no similar pair is lost.
+    """
+    side = F.struct(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "at")
+    here = inside.where("component_id <> cb").select("part", side.alias("x"), F.col("component_id").alias("cx"), "cb")
+    there = inside.select("part", side.alias("y"), F.col("component_id").alias("cy"))
+    hot = hot_keys(inside.select("part", "n").distinct(), "part", "n")
+    met = spread_join(here, there, "part", hot, F.col("x.id")).where("cx <> cy AND (cy = cb OR cx > cy)")
+    met = met.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).select(
+        F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.n").alias("n_a"), F.col("y.n").alias("n_b"),
+        F.col("x.at").alias("i"), F.col("y.at").alias("j"))
+    after = F.least(F.col("n_a") - F.col("i"), F.col("n_b") - F.col("j")) - 1
+    enough = lambda most: (100 + THRESHOLD) * most >= THRESHOLD * (F.col("n_a") + F.col("n_b"))
+    met = met.where((100 * F.least("n_a", "n_b") >= THRESHOLD * F.greatest("n_a", "n_b"))
+                    & enough(F.least("i", "j") + 1 + after))
+    pairs = met.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("k"), F.max("i").alias("i"), F.max("j").alias("j"))
+    behind = lambda n: F.ceil(THRESHOLD * F.col(n) / 100) - 1
+    return pairs.where(enough(F.col("k") + F.least(after, F.greatest(behind("n_a"), behind("n_b"))))).select("a", "b").distinct()
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
@@ -209,12 +269,11 @@ def near_groups(docs: DataFrame) -> DataFrame:
     with fewer words is one shingle, without words it has none and no links. Equal word
     sequences are one class, so copies are never paired. In each band bucket of the registers
     all classes are compared with the smallest one, which joins most similar texts. The rest
-    is exact: two similar sets share one of their least hashes (``least_hashes``), so all pairs
-    that share one and are not yet of one component are candidates, first each text with the
-    smallest one beside it. Hashes that more than PART texts of several components share, such
-    as those of a common passage, go to the end of the order for all texts, and those they
-    concern are compared by what then comes first. Candidates pass a size bound, a bound on the
-    intersection by their least hashes, and the exact test on full sets; no link is lost.
+    is exact: two similar sets share one of their first hashes (``least_hashes``), so all pairs
+    that share one and are not yet of one component are candidates. Hashes of many texts, such
+    as those of a common passage, come last in that order. Candidates pass a size bound, a
+    bound by the places of the shared hashes, one by the parities of both sets, and the exact
+    test on full sets; no link is lost.
 
     Rows that repeat a doc_id with other texts count as one node of the graph. A null doc_id
     has a null component_id and stays. Further columns are ignored; no rows give no rows.
@@ -222,54 +281,32 @@ def near_groups(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     # Ids travel as text: numbers beside nulls would pass through doubles.
     sketches = texts.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(
-        _sketch, "doc_id string, n_shingles long, same binary, least array<long>, cells array<long>")
-    sketches = stored(sketches.withColumn("doc_id", F.col("doc_id").cast("long")), "sketches")
+        _sketch(late_hashes(texts)),
+        "doc_id string, n_shingles long, same binary, rare int, least array<long>, bands array<long>, parity binary")
+    sketches, path = handed_over(sketches.withColumn("doc_id", F.col("doc_id").cast("long")), "sketches")
+    rows = stored(sketches.select("doc_id", "n_shingles", "same"), "rows")
     known = sketches.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = stored(known.groupBy("same").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "classes")
-    reps = stored(known.join(classes.select("same", F.col("rep").alias("doc_id")), ["same", "doc_id"], "left_semi")
-                  .dropDuplicates(["same", "doc_id"]), "reps")
-    found = reps.select("doc_id", F.col("doc_id").alias("component_id")).distinct()
-    links = None
-
-    def joined(pairs: DataFrame) -> None:
-        nonlocal links, found
-        new = _linked(pairs, reps, texts)
-        if links is not None and new.isEmpty():
-            return
-        links = new if links is None else stored(links.union(new), "all-links")
-        found = stored(components(reps, links), "components")
-
-    def starred(inside: DataFrame) -> DataFrame:
-        """Each text with the smallest one beside it."""
-        return inside.where("component_id <> cb").groupBy(F.col("doc_id").alias("a")).agg(F.min("b").alias("b"))
-
-    band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.get("cells", 2 * i), F.get("cells", 2 * i + 1)))
-    joined(starred(_inside(reps.select("doc_id", F.explode(band).alias("part")), found)))
-    # Most hashes are of one text alone: they move once.
-    least = reps.select("doc_id", F.explode("least").alias("part")).withColumn("n", F.count("*").over(Window.partitionBy("part")))
-    least = stored(least.where("n > 1").select("doc_id", "part", F.lit(True).alias("fresh")), "shared")
-    joined(starred(_inside(least, found)))
-    inside = _inside(least, found)
-    late = inside.where(F.col("n") > PART).select("part", "n").distinct().orderBy(F.desc("n"), "part").limit(LATE)
-    late = stored(late, "late")
-    joined(_across(inside.join(F.broadcast(late.select("part")), "part", "left_anti"), found))
-    if not late.isEmpty():
-        behind = np.array([r.part for r in late.select("part").collect()], dtype=np.int64).view(np.uint64)  # LATE at most
-        touched = inside.join(F.broadcast(late.select("part")), "part", "left_semi").select("doc_id").distinct()
-        touched = stored(touched, "touched")
-        again = texts.join(touched, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-        again = stored(again.mapInPandas(_later(behind), "doc_id long, least array<long>"), "later")
-        fresh = again.select("doc_id", F.explode("least").alias("part"), F.lit(True).alias("fresh"))
-        others = reps.select("doc_id", F.explode("least").alias("part"), F.lit(False).alias("fresh")).join(touched, "doc_id", "left_anti").join(
-            fresh.select("part").distinct(), "part", "left_semi").select("doc_id", "part", "fresh")
-        parts = stored(fresh.union(others), "parts")
-        joined(starred(_inside(parts, found)))
-        joined(_across(_inside(parts, found), found))
+    reps = stored(known.groupBy("same").agg(
+        F.min(F.struct("doc_id", "n_shingles", "rare", "least", "bands", "parity")).alias("rep"), F.count("*").alias("n")
+    ).select("same", "rep.*", "n"), "reps")
+    removed(docs.sparkSession, path)
+    inside = _inside(reps.select("doc_id", F.col("doc_id").alias("component_id"), F.explode("bands").alias("part")))
+    # Each text with the smallest one beside it.
+    star = inside.where("component_id <> cb").groupBy(F.col("doc_id").alias("a")).agg(F.min("b").alias("b"))
+    links = _linked(star, reps, texts)
+    found = stored(components(reps, links), "components")
+    first = reps.select("doc_id", "n_shingles", "rare", F.posexplode("least").alias("at", "part"))
+    # Most hashes are of one text alone: they move once. Late ones are of many, and never meet in one task.
+    few = first.where("at < rare").drop("rare").withColumn("n", F.count("*").over(Window.partitionBy("part")))
+    shared = few.where("n > 1").drop("n").union(first.where("at >= rare").drop("rare"))
+    new = _linked(_across(_inside(stored(shared.join(found, "doc_id"), "shared"))), reps, texts)
+    if not new.isEmpty():
+        found = stored(components(reps, stored(links.union(new), "all-links")), "components")
+    classes = reps.select("same", F.col("doc_id").alias("rep"), "n")
     # All rows of a class share the component of its first row; ids repeated with other texts join classes.
     member = classes.join(found, classes.rep == found.doc_id).select("same", "component_id", "n")
     hot = hot_keys(classes, "same", "n")
     alone = F.col("n_shingles") == 0
-    rows = sketches.select("doc_id", "n_shingles", "same")
     named = spread_join(rows.where(~alone & F.col("doc_id").isNotNull()), member.drop("n"), "same", hot, F.col("doc_id"))
     out = named.select("doc_id", "n_shingles", "component_id").union(
         rows.where(alone | F.col("doc_id").isNull()).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))

@@ -9,15 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bondscope.llm.decontamination import words
-from bondscope.llm.common import stored
+from bondscope.llm.common import rows_of, stored
 from bondscope.operators.ranks import exact_quantile
 
 BUCKETS = 10_000
 SHARE = 0.5
 #: Grams that a text's weight stands for at most.
 PIECE = 32
-#: Bits of the filter on ids: at most 2^FILTER_BITS / 8 bytes (16 MB) are broadcast, whatever the labels.
-FILTER_BITS = 27
 
 
 def bag(text: str | None) -> np.ndarray:
@@ -47,21 +45,6 @@ def counted(texts: DataFrame, name: str) -> DataFrame:
     return parts.groupBy("bucket").agg(F.sum("n").alias(name))
 
 
-def rows_of(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows whose doc_id is among ``ids``. A bit filter lets few other texts into the shuffle.
-
-    Blocks of 2^15 bits, one for each value of the upper bits of a hash, are broadcast.
-    """
-    spot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS))
-    blocks = ids.select(F.shiftright(spot, 15).alias("_block"), F.pmod(spot, F.lit(1 << 15)).alias("_at")).groupBy("_block").agg(
-        F.bitmap_construct_agg("_at").alias("_bits"))
-    at = F.pmod(spot, F.lit(1 << 15))
-    byte = F.conv(F.hex(F.substring(F.col("_bits"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    likely = rows.withColumn("_block", F.shiftright(spot, 15)).join(F.broadcast(blocks), "_block").where(
-        F.getbit(byte, F.pmod(at, F.lit(8)).cast("int")) == 1)
-    return likely.select(rows.columns).join(ids, "doc_id", "left_semi")
-
-
 def resampled(docs: DataFrame, labels: DataFrame, share: float = SHARE, seed: int = 23) -> DataFrame:
     """doc_id, log_ratio, key and kept of every row of ``docs`` (doc_id, text).
 

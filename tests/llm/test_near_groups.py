@@ -85,3 +85,28 @@ def test_links_do_not_depend_on_bands(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     found = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_groups(docs).collect()}
     assert found == brute(rows)
+
+
+def test_bounds_hold_and_lose_no_pair(monkeypatch):
+    """Parities and first hashes never tell two similar sets apart, whatever comes last in the order."""
+    rng = near_dedup.np.random.default_rng(9)
+    for n in (1, 2, 7, 40, 300, 3000):
+        for share in (0, 0.1, 0.14, 0.2, 0.9):
+            a = near_dedup.np.unique(rng.integers(0, 2**64, n, dtype="uint64"))
+            fresh = rng.integers(0, 2**64, int(share * n), dtype="uint64")
+            b = near_dedup.np.unique(near_dedup.np.concatenate([a[len(fresh):], fresh]))
+            both = len(near_dedup.np.intersect1d(a, b))
+            assert near_dedup.most_common(len(a), len(b), near_dedup.parity(a).tobytes(), near_dedup.parity(b).tobytes()) >= both
+            late = near_dedup.np.sort(rng.permutation(a)[:n // 2])
+            if 100 * both >= 75 * (len(a) + len(b) - both):
+                assert len(near_dedup.np.intersect1d(near_dedup.least_hashes(a, late), near_dedup.least_hashes(b, late)))
+
+
+def test_pairs_meet_by_places_without_their_hashes(spark):
+    """Candidates keep similar pairs and leave those apart that the places of shared hashes rule out."""
+    rows = [(f"p{k}", i, i, 100, k) for i in (1, 2) for k in range(12)] + [(f"q{k}", i, i, 100, k) for i in (5, 6) for k in range(11)]
+    rows += [("p1", 3, 3, 100, 25), ("r", 3, 3, 100, 3), ("r", 4, 4, 200, 3), ("s", 7, 7, 100, 24), ("s", 8, 7, 100, 24)]
+    held = spark.createDataFrame(rows, "part string, doc_id long, component_id long, n_shingles long, at int")
+    found = {(r.a, r.b) for r in near_dedup._across(near_dedup._inside(held)).collect()}
+    # 86 of 100 make a similarity of 0.75; 74 are behind the first 26, so 12 of these are needed.
+    assert found == {(2, 1)}
