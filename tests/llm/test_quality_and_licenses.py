@@ -84,3 +84,15 @@ def test_memory_of_weights_does_not_grow_with_the_batch():
     assert peak < 10_000_000
     assert list(found.grams) == [int(quality.bag(t).sum()) for t in texts]
     assert np.allclose(found.log_ratio, [quality.bag(t) @ ratio for t in texts])
+
+
+def test_ids_meet_the_rows_behind_the_filter(spark, tmp_path):
+    """The bit filter runs before the texts are shuffled, also where the ids are too many to broadcast."""
+    spark.range(2000).selectExpr("id AS doc_id", "'some text' AS text").write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    ids = rows.select("doc_id").where("doc_id % 3 = 0")
+    found = quality.rows_of(rows, ids.hint("merge"))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]  # outermost first
+    assert "LeftSemi" not in plan and "_block" not in joins[0] and "_block" in joins[1]
+    assert sorted(r.doc_id for r in found.collect()) == list(range(0, 2000, 3))
