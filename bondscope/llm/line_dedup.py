@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bondscope.llm.common import SPACES, hot_keys, spread_join, stored
+from bondscope.storage import handed_over, removed
 
 LEADING = 3
 LEAST_DOCS = 5
@@ -18,6 +19,12 @@ def fields(text: Column) -> Column:
     return F.regexp_replace(text, r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+", FIELD)
 
 
+def tokens(line: Column) -> Column:
+    """Tokens of a line. A split at one plain character needs no regular expression."""
+    cut = F.when(line.rlike(r"[\x09-\x0D]"), F.split(line, SPACES)).otherwise(F.split(line, " "))
+    return F.array_remove(cut, "")
+
+
 def without_recurring_lines(docs: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
     """doc_id, n_lines, n_dropped and text_kept of every row of ``docs`` (doc_id, text).
 
@@ -29,16 +36,20 @@ def without_recurring_lines(docs: DataFrame, least_docs: int = LEAST_DOCS) -> Da
     doc_id and text are separate rows and count as one document. Further columns are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("key", F.xxhash64("doc_id", "text"))
-    lines = rows.dropDuplicates(["key"]).select("key", F.posexplode(F.split(fields(F.col("text")), "\n")).alias("at", "line"))
+    lines = rows.dropDuplicates(["key"]).select("key", F.posexplode(F.split("text", "\n")).alias("at", "line"))
     # The test for blank lines reads the line, as one of the tokens would split it once more.
-    lines = lines.where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).select(
-        "key", "at", F.array_remove(F.split("line", SPACES), "").alias("tokens"))
-    lines = lines.withColumn("leaf", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, LEADING)))
+    lines = lines.where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).withColumn(
+        "line", F.when(F.col("line").rlike("[0-9]"), fields(F.col("line"))).otherwise(F.col("line")))
+    # Each line is masked and split once; those of common leaves, a small part, are split again.
+    split = tokens(F.col("line"))
+    lines, path = handed_over(
+        lines.withColumn("leaf", F.xxhash64(F.size(split), F.slice(split, 1, LEADING))), "masked")
     leaves = stored(lines.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= least_docs), "leaves")
     hot = hot_keys(leaves, "leaf", "n")
     few = leaves.count() <= SMALL
-    inside = stored(lines.join(F.broadcast(leaves), "leaf") if few else spread_join(
-        lines, leaves, "leaf", hot, F.xxhash64("key", "at")), "lines")
+    inside = lines.join(F.broadcast(leaves), "leaf") if few else spread_join(lines, leaves, "leaf", hot, F.xxhash64("key", "at"))
+    inside = stored(inside.withColumn("tokens", tokens(F.col("line"))).drop("line"), "lines")
+    removed(docs.sparkSession, path)
     spots = inside.select("leaf", "n", F.posexplode("tokens").alias("place", "token"))
     fixed = spots.groupBy("leaf", "place", "token").agg(F.count("*").alias("m"), F.first("n").alias("n")).where(
         F.col("m") >= F.col("n") * COMMON)

@@ -182,3 +182,29 @@ def test_taken_words_come_near_the_target(spark):
         assert r.taken <= 3 * r["size"] and r.target == pytest.approx(wanted[names.index(source)])
     for name, goal in zip(names, wanted):
         assert abs(taken[name] - goal) <= 2 * 3 * mixing.BLOCK_WORDS
+
+
+def test_lines_are_masked_and_split_once(spark, tmp_path):
+    """Leaves and templates read stored lines; the text is not masked anew, and tokens are those of any white space."""
+    lines = ["a b c d e 1", " a\tb  c\x0bd e x2y ", "a b\r c d e f", "", " \t ", "1 2 3", "no digit here at all"]
+    rows = [(i, "\n".join(lines[i % 5:] + [f"own{i} line z"])) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    cut = docs.select(F.explode(F.split("text", "\n")).alias("line"))
+    mask = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
+    plain = F.array_remove(F.split(F.regexp_replace("line", mask, "<*>"), r"[\x20\x09-\x0D]+"), "")
+    assert cut.where(~plain.eqNullSafe(line_dedup.tokens(line_dedup.fields(F.col("line"))))).count() == 0
+    found, path = [], line_dedup.handed_over
+
+    def kept(df, name):
+        found.append(name)
+        return path(df, name)
+
+    line_dedup.handed_over = kept
+    try:
+        out = line_dedup.without_recurring_lines(docs)
+        result = {r.doc_id: r for r in out.collect()}
+    finally:
+        line_dedup.handed_over = path
+    assert found == ["masked"]
+    assert all("a b c d e 1" not in r.text_kept and "1 2 3" not in r.text_kept for r in result.values())
+    assert all(result[i].text_kept.endswith("line z") or result[i].n_dropped for i in result)
