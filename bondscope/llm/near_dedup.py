@@ -5,7 +5,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -229,37 +229,55 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
 def _inside(held: DataFrame) -> DataFrame:
     """Rows of the parts that hold several components.
 
-    Each with the smallest doc_id ``b`` of the part, its component ``cb`` and the rows ``n`` of the part.
+    Each with the smallest doc_id ``b`` of the part, its component ``cb``, the rows ``n`` and the
+    fewest shingles ``low_n`` of the part.
     """
     mixed = stored(held.groupBy("part").agg(
         F.min("doc_id").alias("b"), F.min(F.struct("doc_id", "component_id"))["component_id"].alias("cb"),
-        F.count("*").alias("n"), F.min("component_id").alias("low"), F.max("component_id").alias("high")
+        F.count("*").alias("n"), F.min("n_shingles").alias("low_n"),
+        F.min("component_id").alias("low"), F.max("component_id").alias("high")
     ).where("low <> high").drop("low", "high"), "mixed")
     return stored(spread_join(held, mixed, "part", hot_keys(mixed, "part", "n"), F.col("doc_id")), "inside")
 
 
+def _enough(most: Column, n_a: Column, n_b: Column) -> Column:
+    """Whether ``most`` common hashes make sets of these sizes similar."""
+    return (100 + THRESHOLD) * most >= THRESHOLD * (n_a + n_b)
+
+
+def _live(inside: DataFrame) -> DataFrame:
+    """Rows that can be the first hash which a text shares with a similar one of another component.
+
+    ``left``: the text's rows from there on. All that two sets share lies behind the first one; the
+    other set has at least ``low_n`` hashes and three quarters of this one's.
+    """
+    behind = Window.partitionBy("doc_id", "n_shingles").orderBy(F.col("at").desc())
+    n = F.col("n_shingles")
+    other = F.greatest("low_n", F.floor(THRESHOLD * n / 100))
+    return inside.withColumn("left", F.count("*").over(behind)).where(_enough(n - F.col("at"), n, other))
+
+
 def _across(inside: DataFrame) -> DataFrame:
     """Distinct pairs of different components that the places of their shared hashes leave possible.
 
-    A part's rows outside the component of its smallest doc_id meet all of its rows. Two sets share the ``k``
-    hashes that both have among their first ones, and others only after the last of these and
-    after the end of the first hashes of one of them: a bound, so no similar pair is lost.
+    A part's rows outside the component of its smallest doc_id meet all of its rows, as the first
+    hash that two sets share: behind it both have to have enough hashes, and enough of those that are
+    not theirs alone, but for the ones behind the first hashes of one of them. The first shared hash
+    of a similar pair meets both bounds, so no such pair is lost, and texts that share a passage
+    only do not meet by it if their own hashes, which come before, are too many.
     """
-    side = F.struct(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "at")
-    here = inside.where("component_id <> cb").select("part", side.alias("x"), F.col("component_id").alias("cx"), "cb")
-    there = inside.select("part", side.alias("y"), F.col("component_id").alias("cy"))
-    hot = hot_keys(inside.select("part", "n").distinct(), "part", "n")
+    live = stored(_live(inside), "live")
+    side = F.struct(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "at", "left")
+    here = live.where("component_id <> cb").select("part", side.alias("x"), F.col("component_id").alias("cx"), "cb")
+    there = live.select("part", side.alias("y"), F.col("component_id").alias("cy"))
+    hot = hot_keys(live.groupBy("part").agg(F.count("*").alias("n")), "part", "n")
     met = spread_join(here, there, "part", hot, F.col("x.id")).where("cx <> cy AND (cy = cb OR cx > cy)")
-    met = met.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).select(
-        F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.n").alias("n_a"), F.col("y.n").alias("n_b"),
-        F.col("x.at").alias("i"), F.col("y.at").alias("j"))
-    after = F.least(F.col("n_a") - F.col("i"), F.col("n_b") - F.col("j")) - 1
-    enough = lambda most: (100 + THRESHOLD) * most >= THRESHOLD * (F.col("n_a") + F.col("n_b"))
-    met = met.where((100 * F.least("n_a", "n_b") >= THRESHOLD * F.greatest("n_a", "n_b"))
-                    & enough(F.least("i", "j") + 1 + after))
-    pairs = met.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("k"), F.max("i").alias("i"), F.max("j").alias("j"))
-    behind = lambda n: F.ceil(THRESHOLD * F.col(n) / 100) - 1
-    return pairs.where(enough(F.col("k") + F.least(after, F.greatest(behind("n_a"), behind("n_b"))))).select("a", "b").distinct()
+    n_x, n_y = F.col("x.n"), F.col("y.n")
+    rest = F.ceil(THRESHOLD * F.greatest(n_x, n_y) / 100) - 1
+    met = met.where((100 * F.least(n_x, n_y) >= THRESHOLD * F.greatest(n_x, n_y))
+                    & _enough(F.least(n_x - F.col("x.at"), n_y - F.col("y.at")), n_x, n_y)
+                    & _enough(F.least("x.left", "y.left") + rest, n_x, n_y))
+    return met.select(F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b")).distinct()
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
@@ -271,8 +289,8 @@ def near_groups(docs: DataFrame) -> DataFrame:
     all classes are compared with the smallest one, which joins most similar texts. The rest
     is exact: two similar sets share one of their first hashes (``least_hashes``), so all pairs
     that share one and are not yet of one component are candidates. Hashes of many texts, such
-    as those of a common passage, come last in that order. Candidates pass a size bound, a
-    bound by the places of the shared hashes, one by the parities of both sets, and the exact
+    as those of a common passage, come last in that order. Candidates pass a size bound, bounds
+    by the place of the first shared hash, one by the parities of both sets, and the exact
     test on full sets; no link is lost.
 
     Rows that repeat a doc_id with other texts count as one node of the graph. A null doc_id
@@ -290,7 +308,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
         F.min(F.struct("doc_id", "n_shingles", "rare", "least", "bands", "parity")).alias("rep"), F.count("*").alias("n")
     ).select("same", "rep.*", "n"), "reps")
     removed(docs.sparkSession, path)
-    inside = _inside(reps.select("doc_id", F.col("doc_id").alias("component_id"), F.explode("bands").alias("part")))
+    inside = _inside(reps.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.explode("bands").alias("part")))
     # Each text with the smallest one beside it.
     star = inside.where("component_id <> cb").groupBy(F.col("doc_id").alias("a")).agg(F.min("b").alias("b"))
     links = _linked(star, reps, texts)

@@ -110,3 +110,20 @@ def test_pairs_meet_by_places_without_their_hashes(spark):
     found = {(r.a, r.b) for r in near_dedup._across(near_dedup._inside(held)).collect()}
     # 86 of 100 make a similarity of 0.75; 74 are behind the first 26, so 12 of these are needed.
     assert found == {(2, 1)}
+
+
+def test_texts_with_a_common_passage_only_do_not_meet(spark, monkeypatch):
+    """Hashes of their own before a passage keep texts from meeting in its parts, however many share it."""
+    rows = [(f"p{k}", i, i, 100, 15 + k) for i in range(60) for k in range(10)]
+    # 86 of 100 make a similarity of 0.75: two texts with 14 hashes of their own before 12 shared ones can be similar.
+    rows += [(f"q{k}", i, i, 100, 14 + k) for i in (70, 71) for k in range(12)]
+    held = spark.createDataFrame(rows, "part string, doc_id long, component_id long, n_shingles long, at int")
+    inside, met, joined = near_dedup._inside(held), [], near_dedup.spread_join
+
+    def counted(left, right, key, *more):
+        met.append(left.join(right, key).count())
+        return joined(left, right, key, *more)
+
+    monkeypatch.setattr(near_dedup, "spread_join", counted)
+    assert {(r.a, r.b) for r in near_dedup._across(inside).collect()} == {(71, 70)}
+    assert sum(met) <= 2
