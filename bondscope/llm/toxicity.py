@@ -16,6 +16,8 @@ LEAST_ROWS = 4
 ROUNDS = 300
 PENALTY = 1.0
 REJECT = 0.5
+#: Features that a step of the fit takes at a time: its memory does not grow with the rows beside them.
+BLOCK = 1 << 17
 
 
 def features(text: str | None) -> np.ndarray:
@@ -25,7 +27,9 @@ def features(text: str | None) -> np.ndarray:
 
 def _features(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        yield pd.DataFrame({"grade": frame.grade, "found": [features(t) for t in frame.text]})
+        for at in range(0, len(frame), 500):
+            part = frame.iloc[at:at + 500]
+            yield pd.DataFrame({"grade": part.grade, "found": [features(t).astype(np.int32) for t in part.text]})
 
 
 def fit(rows: list[np.ndarray], grades: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -35,23 +39,36 @@ def fit(rows: list[np.ndarray], grades: np.ndarray) -> tuple[np.ndarray, np.ndar
     absolute penalty that leaves rare words without weight.
     """
     levels = int(grades.max()) if len(grades) else 0
-    flat = np.concatenate(rows) if rows else np.empty(0, np.int64)
-    names, column, n = np.unique(flat, return_inverse=True, return_counts=True)
-    row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    n = np.zeros(FEATURES, dtype=np.int64)
+    for found in rows:
+        n[found] += 1
     often = n >= LEAST_ROWS
-    column, row = column[often[column]], row[often[column]]
+    names = np.flatnonzero(often)
+    place = np.cumsum(often, dtype=np.int32) - np.int32(1)
+    size = np.array([np.count_nonzero(often[found]) for found in rows], dtype=np.int64)
+    end = np.concatenate([[0], np.cumsum(size)])
+    column = np.empty(end[-1], dtype=np.int32)
+    for found, at, to in zip(rows, end, end[1:]):
+        column[at:to] = place[found[often[found]]]
+    # Whole rows, about BLOCK features in each block.
+    cut = np.unique(np.concatenate([np.searchsorted(end, np.arange(0, end[-1], BLOCK)), [len(rows)]]))
     weight, scale = np.zeros(len(names)), np.full(len(names), 1e-2)
     share = np.clip([(grades <= k).mean() for k in range(levels)], 1e-3, 1 - 1e-3)
     cuts = np.log(share / (1 - share))
     cut_scale = np.full(levels, 1e-2)
     for _ in range(ROUNDS if levels else 0):
-        score = np.bincount(row, weight[column], len(rows))
+        score = np.zeros(len(rows))
+        for a, b in zip(cut, cut[1:]):
+            row = np.repeat(np.arange(b - a), size[a:b])
+            score[a:b] = np.bincount(row, weight[column[end[a]:end[b]]], b - a)
         edges = np.concatenate([[-np.inf], cuts, [np.inf]])
         with np.errstate(over="ignore"):
             above = 1 / (1 + np.exp(-(edges[grades + 1] - score)))
             below = 1 / (1 + np.exp(-(edges[grades] - score)))
         chance = np.maximum(above - below, 1e-9)
-        slope = np.bincount(column, (1 - above - below)[row], len(names))
+        push, slope = 1 - above - below, np.zeros(len(names))
+        for a, b in zip(cut, cut[1:]):
+            np.add.at(slope, column[end[a]:end[b]], np.repeat(push[a:b], size[a:b]))
         scale += slope**2
         step = 0.5 / np.sqrt(scale)
         weight -= step * slope
@@ -76,7 +93,7 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray, n
         F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(grade).alias("grade"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_ROWS)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = texts.join(known, "doc_id").select("grade", "text").mapInPandas(_features, "grade int, found array<long>")
+    rows = texts.join(known, "doc_id").select("grade", "text").mapInPandas(_features, "grade int, found array<int>")
 
     def fit_all(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("grade", kind="stable")
