@@ -203,3 +203,40 @@ def test_exponentials_are_computed_once_for_each_output(spark):
         i = row["_bins"][0]
         assert np.allclose([row[f"_g{k}"] for k in range(7)], 1e9 * ((np.arange(7) == i) - p[i]), atol=1)
         assert np.allclose([row[f"_h{k}"] for k in range(7)], 1e9 * p[i] * (1 - p[i]), atol=1)
+
+
+def slices(monkeypatch, rows):
+    """Blocks of about so many rows; the scale of the gradients stays that of one block."""
+    monkeypatch.setattr(boosting, "_blocks", lambda data, model, made=boosting._blocks: made(data, model, rows))
+
+
+@pytest.mark.parametrize("trees", [1, 8])
+@pytest.mark.parametrize("targets", [("y", "z"), ("kind", "side")])
+def test_blocks_change_nothing(table, monkeypatch, targets, trees):
+    """Many blocks, a job for each level, scores stored in between: the trees of one block, to the last bit."""
+    alone = boosting.fit(table, FEATURES, targets, SETTINGS, ("id",))
+    slices(monkeypatch, 50)
+    monkeypatch.setattr(boosting, "TREES_PER_STATE", trees)
+    assert boosting.fit(table, FEATURES, targets, SETTINGS, ("id",)).trees == alone.trees
+
+
+def test_slopes_equal_the_expressions(spark):
+    """Gradients of a block in numpy and those of Spark's expressions."""
+    scores, truth = np.array([[0.1 * k * (i + 1) for i in range(4)] for k in range(3)]), np.array([0.0, 2.0, 1.0, 2.0])
+    target = boosting.Target("kind", (0, 1, 2), (0.0,) * 3)
+    wide = spark.createDataFrame(
+        [([i], int(y), *map(float, scores[:, i])) for i, y in enumerate(truth)], "_bins array<int>, _y0 int, _s0 double, _s1 double, _s2 double")
+    g, h = boosting._slopes(target, truth, scores, 2.0**40)
+    for row in boosting._with_gradients(wide, [target], {0: 2.0**40}).collect():
+        i = row["_bins"][0]
+        assert np.allclose(g[:, i], [row[f"_g{k}"] for k in range(3)], atol=1)
+        assert np.allclose(h[:, i], [row[f"_h{k}"] for k in range(3)], atol=1)
+
+
+def test_all_rounds_are_fitted_and_scored(table):
+    """A thousand rounds at depth 6 on both targets; the fit comes near to the rows."""
+    model = boosting.fit(table, FEATURES, ("y", "z"), key=("id",))
+    assert [len(trees) for trees in model.trees] == [1000, 1000]
+    assert {len(tree.levels) for trees in model.trees for tree in trees} == {6}
+    found = boosting.score(model, table, ["id"]).orderBy("id").collect()
+    assert np.abs(np.array([r.y for r in found]) - arrays(rows(), "y")[:, 0]).mean() < 0.1
