@@ -23,7 +23,13 @@ def asked(monkeypatch):
     return found
 
 
-@pytest.mark.parametrize("name", ["batch_scoring"])
+@pytest.mark.parametrize("name", ["batch_scoring", "model_parameters"])
 def test_all_rounds(spark, asked, name):
     assert learned.QUERIES[name](spark, FOLDER).count() > 0
     assert [(s.iterations, s.learning_rate, s.depth) for s in asked] == [(1000, 0.1, 6)]
+
+
+def test_parameters_are_those_of_the_trees(spark):
+    """The count of the trees that were grown, not of those that were asked for."""
+    found = learned.model_parameters(spark, FOLDER).first()
+    assert (found["iterations"], found["learning_rate"]) == (1000, 0.1)
