@@ -23,7 +23,7 @@ def asked(monkeypatch):
     return found
 
 
-@pytest.mark.parametrize("name", ["batch_scoring", "model_parameters", "regression"])
+@pytest.mark.parametrize("name", ["batch_scoring", "model_parameters", "regression", "saved_model"])
 def test_all_rounds(spark, asked, name):
     assert learned.QUERIES[name](spark, FOLDER).count() > 0
     assert [(s.iterations, s.learning_rate, s.depth) for s in asked] == [(1000, 0.1, 6)]
